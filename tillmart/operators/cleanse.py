@@ -44,8 +44,11 @@ def trim_text(df: DataFrame) -> DataFrame:
 
 
 def handle_nulls(df: DataFrame) -> DataFrame:
-    """Strip every text cell and turn no-value texts into NULL."""
-    return _each_text(df, null_tokens)
+    """Strip every text cell and turn no-value texts into NULL.
+
+    Two projections, so that each cell is stripped once though it is used twice.
+    """
+    return _each_text(trim_text(df), null_tokens)
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.lookup import (
 )
 from ..operators.numbering import number_in_order
 from ..operators.reconcile import seeded_sample
-from ..plans.gold import build_dimension, build_kitchen_fact
+from ..plans.gold import DIMENSIONS, build_dimension, build_kitchen_fact
 from ..plans.views import VIEWS, view
 from . import fixtures as fx
 from .base import query, r, ratio
@@ -394,7 +394,8 @@ def _sample(spark, sf_dir):
 for _name in LOOKUPS:
 
     def _dimension(spark, sf_dir, name=_name):
-        return fx.gold(spark, sf_dir).dimensions[name]
+        source = fx.enriched if DIMENSIONS[name][0] == "orders" else fx.lines
+        return build_dimension(source(spark, sf_dir), name)
 
     query(f"dim_{_name}", f"SELECT * FROM dim_{_name}")(_dimension)
 
