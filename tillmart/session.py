@@ -47,16 +47,14 @@ def scratch_root(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. A machine-local folder is
     acceptable only when the whole session runs on this machine.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="tillmart-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tillmart-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
