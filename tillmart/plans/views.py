@@ -135,13 +135,20 @@ VIEWS = {
     ),
     "vw_daypart_sales": _channel("COALESCE(daypart, 'Unknown') AS daypart", _joined("orders")),
     "vw_order_type_performance": _channel("order_type", _joined("orders")),
-    # The share is taken of a one-row total, not of a window over all groups.
+    # The share is taken of a one-row total, not of a window over all groups. The
+    # total's condition always holds; it keeps both uses of the groups alike, so
+    # that Spark runs the aggregation once and reuses its shuffle.
     "vw_order_status_analysis": (
         "WITH grouped AS ("
         f"SELECT status, {_REASON} AS order_cancel_reason, {_INVOICES} AS orders, "
         f"{_GROSS}, {_NET}, {_AOV} FROM {_joined('orders')} GROUP BY 1, 2) "
         "SELECT *, "
-        + _ratio("orders", "(SELECT SUM(orders) FROM grouped)", "order_percentage", "100 * ")
+        + _ratio(
+            "orders",
+            "(SELECT SUM(orders) FROM grouped HAVING COUNT(gross_sales) + COUNT(net_sales) >= 0)",
+            "order_percentage",
+            "100 * ",
+        )
         + f" FROM grouped ORDER BY {ORDER['vw_order_status_analysis']}"
     ),
     "vw_aov_analysis": _select(

@@ -201,6 +201,18 @@ def _detect(spark, sf_dir):
     return workbook.detect_header_row(_grid(spark, sf_dir))
 
 
+@query(
+    "limit_scan",
+    f"SELECT path, count(*) AS rows, max(row_idx) AS last_row FROM {_GRID_ORACLE}"
+    " WHERE row_idx < 30 GROUP BY 1",
+)
+def _leading(spark, sf_dir):
+    leading = workbook.leading_rows(_grid(spark, sf_dir))
+    return leading.groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("row_idx").alias("last_row")
+    )
+
+
 @query(
     "header_promote",
     "SELECT path, string_split(line, '|')[1] AS kot_no, string_split(line, '|')[2] AS item_name,"
