@@ -290,3 +290,40 @@ def test_sample_does_not_depend_on_partitions(spark):
     a = reconcile.seeded_sample(df.repartition(3), 20, 42, ["id"]).collect()
     b = reconcile.seeded_sample(df.repartition(7), 20, 42, ["id"]).collect()
     assert a == b and len(a) == 20
+
+
+class FakeSession:
+    """Just enough of a session to ask where scratch tables go."""
+
+    def __init__(self, master, folder=None, conf=None):
+        self.sparkContext = self
+        self.master, self.folder, self.conf_value = master, folder, conf
+
+    def getConf(self):
+        return {"spark.checkpoint.dir": self.conf_value} if self.conf_value else {}
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_folder():
+    from tillmart.session import scratch_root
+
+    assert scratch_root(FakeSession("spark://x", conf="/shared")) == "/shared"
+    assert scratch_root(FakeSession("spark://x", folder="/set")) == "/set"
+    local = FakeSession("local[2]")
+    assert scratch_root(local) == local.folder != None  # noqa: E711
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(FakeSession("spark://x"))
+
+
+def test_spread_leaves_large_scans_alone(spark):
+    from tillmart.session import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, cores)
+    assert spread(wide) is wide
+    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores

@@ -147,7 +147,7 @@ def _pack(batches):
         rows = []
         for position, cells in enumerate(batch["cells"], start=1):
             texts = [
-                "" if c is None else f'<c t="inlineStr"><is><t>{escape(c)}</t></is></c>'
+                "<c/>" if c is None else f'<c t="inlineStr"><is><t>{escape(c)}</t></is></c>'
                 for c in cells
             ]
             rows.append(f'<row r="{position}">{"".join(texts)}</row>')
@@ -161,19 +161,22 @@ def _pack(batches):
         yield pd.DataFrame({"path": [f"book_{number}.xlsx"], "content": [packed.getvalue()]})
 
 
+def _cell_sql(position: int) -> str:
+    return f"nullif(string_split(line, '|')[{position}], '~')"
+
+
 @query(
     "scan_workbook_grid",
-    f"SELECT string_split(line, '|')[1] AS first_cell, string_split(line, '|')[2] AS second_cell,"
-    f" string_split(line, '|')[4] AS fourth_cell FROM {_GRID_ORACLE} WHERE row_idx >= 5",
+    f"SELECT {_cell_sql(1)} AS first_cell, {_cell_sql(2)} AS second_cell,"
+    f" {_cell_sql(4)} AS fourth_cell FROM {_GRID_ORACLE}",
 )
 def _workbook_grid(spark, sf_dir):
-    books = _grid(spark, sf_dir).filter("row_idx >= 5").mapInPandas(
-        _pack, "path string, content binary"
-    )
+    books = _grid(spark, sf_dir).mapInPandas(_pack, "path string, content binary")
     grid = workbook.workbook_grid(books)
     return grid.select(
-        F.col("cells")[0].alias("first_cell"), F.col("cells")[1].alias("second_cell"),
-        F.col("cells")[3].alias("fourth_cell"),
+        F.get("cells", F.lit(0)).alias("first_cell"),
+        F.get("cells", F.lit(1)).alias("second_cell"),
+        F.get("cells", F.lit(3)).alias("fourth_cell"),
     )
 
 
