@@ -35,14 +35,10 @@ def running_total(
     runs before it; that table has one row per run and group. ``order_by`` must
     identify a row, else equal rows all fall into one run.
     """
-    runs = runs or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*within, *order_by]
-    ranged, _ = materialize(
-        df.repartitionByRange(runs, *_ascending(keys)).withColumn(
-            _RUN, F.spark_partition_id()
-        ),
-        "runs",
-    )
+    keys = _ascending([*within, *order_by])
+    # Without a number, adaptive execution merges neighbouring small ranges.
+    ranges = df.repartitionByRange(runs, *keys) if runs else df.repartitionByRange(*keys)
+    ranged, _ = materialize(ranges.withColumn(_RUN, F.spark_partition_id()), "runs")
     earlier = Window.partitionBy(*within).orderBy(_RUN).rowsBetween(
         Window.unboundedPreceding, -1
     )
