@@ -89,6 +89,17 @@ class Taken:
         return True
 
 
+def without(docs: DataFrame, gone: DataFrame, rows: int) -> DataFrame:
+    """``docs`` without the rows whose ``doc_id`` is in ``gone`` (``doc_id``, ``rows`` rows).
+
+    Columns keep their names and places, whatever they are called.
+    """
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    key = flat[f"c{docs.columns.index('doc_id')}"]
+    gone = shared_or_broadcast(gone.select(F.col("doc_id").alias("gone")), rows)
+    return flat.join(gone, key == F.col("gone"), "left_anti").toDF(*docs.columns)
+
+
 def place_in_group(df: DataFrame, keys: list[str], order: list[str], salts: int) -> DataFrame:
     """Add ``place``: gapless from 0 within ``keys``, also when one group holds most rows.
 
