@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import private, secrets, sharding, topk, toxicity
+from . import binary, neardup, packing, private, secrets, sharding, topk, toxicity
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_secrets": secrets.op3_secrets,
+    "op4_packing": packing.op4_packing,
     "op6_sharding": sharding.op6_sharding,
+    "op7_near_duplicates": neardup.op7_near_duplicates,
+    "op8_token_blocks": binary.op8_token_blocks,
     "op10_private": private.op10_private,
 }
 
