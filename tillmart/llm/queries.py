@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import binary, neardup, packing, private, secrets, sharding, topk, toxicity
+from . import (
+    binary, decontaminate, neardup, packing, private, secrets, sharding, topk, toxicity, urls,
+)
 
 QUERIES = {
     "op1_exact_topk": topk.op1_exact_topk,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_secrets": secrets.op3_secrets,
     "op4_packing": packing.op4_packing,
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op6_sharding": sharding.op6_sharding,
     "op7_near_duplicates": neardup.op7_near_duplicates,
     "op8_token_blocks": binary.op8_token_blocks,
+    "op9_url_filter": urls.op9_url_filter,
     "op10_private": private.op10_private,
 }
 
