@@ -130,4 +130,6 @@ def test_expected_collisions_match_unrelated_sets():
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     got = {r["id"]: r["component"] for r in neardup.components(edges, "test").collect()}
-    assert got == {i: 0 for i in range(1, 201)} | {501: 500}
+    assert got == {i: 0 for i in range(201)} | {500: 500, 501: 500}
+    empty = spark.createDataFrame([], "a long, b long")
+    assert neardup.components(empty, "test").collect() == []

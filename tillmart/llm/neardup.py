@@ -10,9 +10,11 @@
 4. The collision-corrected estimate of the sketches drops hopeless pairs; the others
    are confirmed on full sets (100 * intersection >= 75 * union).
 5. Buckets that still hold several components go through a second round, in tiles of
-   bounded size: all pairs of different components whose estimate is not hopeless
-   are confirmed. So of the pairs that meet, no link between components is lost.
-6. Components come from alternating star contractions, in Spark throughout.
+   bounded size: every pair of different components is estimated, each member's best
+   partner confirmed. Members that are still suspect of a link go through a third, in
+   which pairs are confirmed on full sets where they meet. So of the pairs that share a
+   band, no link between components is lost, and no list of pairs is ever made.
+6. Components come from contractions of the links, in Spark throughout.
 
 A pair at the threshold misses all 32 bands with a chance of (1 - 0.75^4)^32 = 5e-6.
 
@@ -41,7 +43,8 @@ BANDS = REGISTERS // ROWS_PER_BAND
 SIMILAR = 75
 # Sketches whose estimate is more than four standard errors below are hopeless.
 HOPELESS = SIMILAR / 100 - 4 * (0.75 * 0.25 / REGISTERS) ** 0.5
-TILE = 128
+# Members per tile, of sketches and of full sets.
+TILE, SET_TILE = 512, 256
 
 # Fixed odd multipliers that tell the places of a shingle apart.
 _PLACES = np.array(
@@ -167,19 +170,24 @@ def sketched(docs: DataFrame) -> DataFrame:
     )
 
 
+def _bucket_ids(keys: np.ndarray) -> np.ndarray:
+    """Bucket of each band of rows of band keys."""
+    place = np.arange(BANDS, dtype=np.uint64)
+    return _mix(keys ^ _mix(place + np.uint64(1))).view(np.int64)
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per band that holds anything."""
     names = ["bucket", "id", "component"]
-    place = np.arange(BANDS, dtype=np.uint64)
     for batch in batches:
         if batch.num_rows:
             data = b"".join(batch.column(2).to_pylist())
             keys = np.frombuffer(data, dtype="<u8").reshape(batch.num_rows, BANDS)
             used = keys != 0
-            mixed = _mix(keys ^ _mix(place + np.uint64(1))).view(np.int64)
+            buckets = _bucket_ids(keys)
             times = used.sum(axis=1)
             rest = [np.repeat(batch.column(i).to_numpy(zero_copy_only=False), times) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (mixed[used], *rest)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (buckets[used], *rest)], names)
 
 
 def bucket_rows(leaders: DataFrame) -> DataFrame:
@@ -246,22 +254,39 @@ def best_per_member(pairs: DataFrame, keep: int = 2) -> DataFrame:
     )
     return flat.select(
         F.least("member", "centre").alias("a"), F.greatest("member", "centre").alias("b")
-    ).distinct()
+    )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    pairs, _ = materialize(pairs, "neardup-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def full_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, hashes: the whole shingle sets of the documents ``ids`` (distinct), stored."""
     ids, rows = materialize(ids, "neardup-ids")
-    wanted = only(docs, "doc_id", "text").join(shared_or_broadcast(ids, rows), "doc_id", "left_semi")
+    wanted = shared_or_broadcast(ids.select(F.col("id").alias("doc_id")), rows)
+    texts = only(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi")
 
     def work(c):
         return {"id": c["doc_id"], "hashes": [shingles(t).tobytes() for t in c["text"]]}
 
-    sets = map_rows(wanted, "id long, hashes binary", work).where(F.length("hashes") > 0)
-    # Rows may repeat an id: each of its sets counts, equal ones once.
-    sets, _ = materialize(sets.distinct(), "neardup-sets")
+    sets = map_rows(texts, "id long, hashes binary", work).where(F.length("hashes") > 0)
+    sets, found = materialize(sets, "neardup-sets")
+    if found > rows:  # rows repeat an id: each of its sets counts, equal ones once
+        sets, _ = materialize(sets.distinct(), "neardup-sets")
+    return sets
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets are linked."""
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= SIMILAR * (len(both) - shared)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    pairs, count = materialize(pairs, "neardup-pairs")
+    if not count:
+        return pairs.select("a", "b")
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
     joined = (
         pairs.join(sets.toDF("a", "sa"), "a")
         .join(sets.toDF("b", "sb"), "b")
@@ -274,12 +299,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     def check(batches):
         for batch in batches:
-            kept = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                both = np.concatenate([np.frombuffer(v, dtype="<u8") for v in (x, y)])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                kept.append(100 * shared >= SIMILAR * (len(both) - shared))
+            sides = (
+                [np.frombuffer(v, dtype="<u8") for v in batch.column(i).to_pylist()] for i in (2, 3)
+            )
+            kept = [similar(x, y) for x, y in zip(*sides, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     return joined.mapInArrow(check, "a long, b long")
@@ -288,49 +311,48 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def components(edges: DataFrame, label: str) -> DataFrame:
     """id, component (smallest id reachable) of every id in ``edges`` (a, b).
 
-    Alternating contractions: each id points its larger neighbours at its smallest
-    neighbour, then its smaller ones too, until nothing changes. Every step is a
-    stored table.
+    Contraction: every id points at the neighbour, or itself, that comes first in a
+    hashed order, then at what that one points at; edges move along, and those within
+    one point vanish. A hashed order leaves a share of the ids each time, for chains
+    too, so few rounds are enough. Every step is a stored table; joins to few ids are
+    broadcast, others are shuffles in which hot ids are split.
     """
 
-    def store(df):
-        return materialize(df.where("a <> b").distinct(), label)
+    def stored(df):
+        return materialize(df, label)
 
-    def pointed(df, key, least):
-        # Joined to few ids by broadcast, to many by a shuffle that splits hot ids.
-        least, rows = materialize(least, label)
-        return df.join(shared_or_broadcast(least, rows), key)
+    def moved(df, column, pointers, rows):
+        to = shared_or_broadcast(pointers.toDF("__from", "__to"), rows)
+        at = F.coalesce("__to", column).alias(column)
+        kept = [at if c == column else F.col(c) for c in df.columns]
+        return df.join(to, F.col(column) == F.col("__from"), "left").select(*kept)
 
-    edges, count = store(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    state = None
+    result = None
+    edges, count = stored(edges.where("a <> b").select("a", "b"))
     while count:
-        # Large star: all neighbours that are larger point at the least of the hood.
-        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        edges, _ = store(
-            pointed(both, "a", least).where("b > a").select(F.col("m").alias("a"), "b")
-        )
-        # Small star: smaller neighbours, and the id itself, point at the least of them.
-        least = edges.groupBy("b").agg(F.min("a").alias("m"))
-        small = pointed(edges, "b", least).select(
-            F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")
-        )
-        edges, count = store(small)
-        now = edges.agg(F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("s")).first()["s"]
-        if now == state:
-            break
-        state = now
-    return edges.select(F.col("b").alias("id"), F.col("a").alias("component"))
-
-
-def mixed_pairs(leaders: DataFrame) -> DataFrame:
-    """a, b: promising pairs of different components within buckets.
-
-    The members outside a bucket's largest component are held against all members.
-    Both are cut into tiles by a hash of the id; a task holds one tile of each and
-    gives back only pairs whose estimate is not hopeless.
+        both = edges.union(edges.select("b", "a"))
+        first = F.min_by("b", F.xxhash64("b")).alias("b")
+        near = both.groupBy("a").agg(first)
+        nearer = F.when(F.xxhash64("b") < F.xxhash64("a"), F.col("b")).otherwise(F.col("a"))
+        pointers, rows = stored(near.select("a", nearer.alias("b")))
+        pointers, rows = stored(moved(pointers, "b", pointers, rows))
+        result = pointers if result is None else moved(result, "b", pointers, rows)
+        result, _ = stored(result)
+        edges = moved(moved(edges, "a", pointers, rows), "b", pointers, rows)
+        edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        edges, count = stored(edges.distinct())
+    if result is None:
+        return edges.select(F.col("b").alias("id"), F.col("a").alias("component"))
+    names, rows = stored(result.groupBy("b").agg(F.min("a").alias("component")))
+    return moved(result, "b", names, rows).select(F.col("a").alias("id"), F.col("b").alias("component"))
+
+
+def mixed_buckets(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Buckets of ``rows`` (bucket, id, component) that hold several components, stored.
+
+    ``major`` is the largest component of a bucket; the ``few`` others are held against
+    all members.
     """
-    rows = bucket_rows(leaders)
     mixed = (
         rows.groupBy("bucket", "component")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -338,49 +360,134 @@ def mixed_pairs(leaders: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("size"), F.max("n").alias("most"),
              F.max_by("component", "n").alias("major"))
         .where("size > most")
-        .select(
-            "bucket", "major", F.ceil((F.col("size") - F.col("most")) / TILE).cast("int").alias("few"),
-            F.ceil(F.col("size") / TILE).cast("int").alias("all"),
-        )
+        .select("bucket", "major", (F.col("size") - F.col("most")).alias("few"),
+                F.col("size").alias("all"))
     )
-    mixed, count = materialize(mixed, "neardup-mixed")
-    members = rows.join(shared_or_broadcast(mixed, count), "bucket").join(
-        leaders.select("id", "n_shingles", "registers"), "id"
-    )
-    members, _ = materialize(members, "neardup-members")
+    return materialize(mixed, "neardup-mixed")
+
+
+def in_tiles(members: DataFrame, tile: int) -> DataFrame:
+    """``members`` (with bucket, major, few, all) as pairs of tiles, keyed bucket, i, j.
+
+    Members outside the largest component are cut into tiles ``i`` (side 0), all
+    members into tiles ``j`` (side 1); a pair of tiles is the work of one group.
+    """
     place = F.xxhash64("id")
-    kept = ("bucket", "id", "component", "n_shingles", "registers")
+    few, total = (F.ceil(F.col(c) / tile).cast("int") for c in ("few", "all"))
+    kept = [F.col(c) for c in members.columns if c not in ("major", "few", "all")]
     left = members.where("component <> major").select(
-        *kept, F.lit(0).alias("side"), F.pmod(place, "few").cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"),
+        *kept, F.lit(0).alias("side"), F.pmod(place, few).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), total - 1)).alias("j"),
     )
     right = members.select(
-        *kept, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
-        F.pmod(place, "all").cast("int").alias("j"),
+        *kept, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), few - 1)).alias("i"),
+        F.pmod(place, total).cast("int").alias("j"),
     )
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    return left.union(right)
+
+
+def _numbers(group: pa.Table, *names: str) -> list[np.ndarray]:
+    return [group.column(c).to_numpy().astype(np.int64) for c in names]
+
+
+def _fitting(x: int, others: np.ndarray, comps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Members of another component whose size allows a link with ``x``."""
+    y = others[comps[others] != comps[x]]
+    small, large = np.minimum(sizes[y], sizes[x]), np.maximum(sizes[y], sizes[x])
+    return y[100 * small >= SIMILAR * large]
+
+
+def suspects(leaders: DataFrame) -> DataFrame:
+    """bucket, id, partner: members that may be linked with another component of a bucket.
+
+    Each comes once per pair of tiles and place in it, with its most likely partner if
+    it is outside the largest component; so the rows grow with the members, not with
+    the pairs.
+    """
+    rows = bucket_rows(leaders)
+    mixed, count = mixed_buckets(rows)
+    schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("partner", pa.int64())])
+    members = rows.join(shared_or_broadcast(mixed, count), "bucket").join(
+        leaders.select("id", "n_shingles", "registers"), "id"
+    )
+    members, _ = materialize(members, "neardup-members")
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, comps, sizes, side = (
-            group.column(c).to_numpy().astype(np.int64)
-            for c in ("id", "component", "n_shingles", "side")
-        )
+        ids, comps, sizes, side = _numbers(group, "id", "component", "n_shingles", "side")
         regs = np.frombuffer(b"".join(group.column("registers").to_pylist()), dtype="<u2")
         regs = regs.reshape(-1, REGISTERS)
         others = np.flatnonzero(side == 1)
-        found = [np.zeros((0, 2), dtype=np.int64)]
+        partner: dict[int, int | None] = {}
         for x in np.flatnonzero(side == 0):
-            y = others[comps[others] != comps[x]]
-            small, large = np.minimum(sizes[y], sizes[x]), np.maximum(sizes[y], sizes[x])
-            y = y[100 * small >= SIMILAR * large]
+            y = _fitting(x, others, comps, sizes)
             if len(y):
-                at, _ = likely_pairs(regs[y], regs[x], sizes[y], sizes[x])
-                found.append(np.stack([np.full(len(at), ids[x]), ids[y[at]]], axis=1))
-        pairs = np.sort(np.concatenate(found), axis=1)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+                at, likely = likely_pairs(regs[y], regs[x], sizes[y], sizes[x])
+                if len(at):
+                    for k in ids[y[at]].tolist():
+                        partner.setdefault(k, None)
+                    partner[int(ids[x])] = int(ids[y[at[np.argmax(likely)]]])
+        bucket = [int(group.column("bucket")[0].as_py())] * len(partner)
+        columns = (bucket, list(partner), list(partner.values()))
+        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    found = in_tiles(members, TILE).groupBy("bucket", "i", "j").applyInArrow(
+        compare, "bucket long, id long, partner long"
+    )
+    return materialize(found, "neardup-suspects")[0]
 
-    pairs = left.union(right).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
-    return pairs.distinct()
+
+def exact_links(found: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """a, b: links between components among suspects, confirmed on full sets in place.
+
+    A pair is looked at in the first band it shares. One link per member and component
+    is enough, so those after it are not looked for.
+    """
+    rows = found.select("bucket", "id").distinct().join(labels, "id")
+    rows, _ = materialize(rows, "neardup-open")
+    mixed, count = mixed_buckets(rows)
+    if not count:
+        return labels.sparkSession.createDataFrame([], "a long, b long")
+    members = rows.join(shared_or_broadcast(mixed, count), "bucket")
+    members, _ = materialize(members, "neardup-open")
+    sets = full_sets(members.select("id").distinct(), docs)
+    tiled = in_tiles(members.join(sets, "id"), SET_TILE)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def confirm(group: pa.Table) -> pa.Table:
+        ids, comps, side = _numbers(group, "id", "component", "side")
+        hashes = [np.frombuffer(h, dtype="<u8") for h in group.column("hashes").to_pylist()]
+        sizes = np.array([len(h) for h in hashes])
+        regs = np.stack([sketch(h) for h in hashes])
+        keys = regs.view("<u8")
+        homes = _bucket_ids(keys)
+        bucket = group.column("bucket")[0].as_py()
+        others = np.flatnonzero(side == 1)
+        links = []
+        for x in np.flatnonzero(side == 0):
+            y = _fitting(x, others, comps, sizes)
+            shared = (keys[y] == keys[x]) & (keys[x] != 0)
+            y = y[homes[x][shared.argmax(axis=1)] == bucket]
+            at, likely = likely_pairs(regs[y], regs[x], sizes[y], sizes[x])
+            linked = set()
+            for k in y[at[np.argsort(-likely, kind="stable")]].tolist():
+                if comps[k] not in linked and similar(hashes[x], hashes[k]):
+                    linked.add(comps[k])
+                    links.append(sorted((int(ids[x]), int(ids[k]))))
+        columns = list(zip(*links, strict=True)) if links else ([], [])
+        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    return tiled.groupBy("bucket", "i", "j").applyInArrow(confirm, "a long, b long")
+
+
+def _labelled(links: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int]:
+    """Stored components (id, component) of ``links`` and earlier ``labels`` together."""
+    links, new = materialize(links, "neardup-links")
+    if labels is not None:
+        known = labels.select(F.col("component").alias("a"), F.col("id").alias("b"))
+        if not new:
+            return materialize(labels, "neardup-labels")
+        links = known.union(links)
+    return materialize(components(links, "neardup-star"), "neardup-labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -396,21 +503,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "neardup-leaders",
     )
     first = confirmed(best_per_member(promising(centre_pairs(leaders), leaders)), docs)
-    stars = components(first, "neardup-star")
-    stars, count = materialize(stars, "neardup-stars")
+    labels, count = _labelled(first, None)
     joined = (
         leaders.drop("component")
-        .join(shared_or_broadcast(stars, count), "id", "left")
+        .join(shared_or_broadcast(labels, count), "id", "left")
         .withColumn("component", F.coalesce("component", "id"))
     )
-    joined, _ = materialize(joined, "neardup-joined")
-    second = confirmed(mixed_pairs(joined), docs)
-    # The first round's components come in with one link per member.
-    known = stars.select(F.col("component").alias("a"), F.col("id").alias("b"))
-    final = components(known.union(second), "neardup-star")
+    found = suspects(materialize(joined, "neardup-joined")[0])
+    likely = found.where("partner IS NOT NULL").select(
+        F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b")
+    )
+    labels, count = _labelled(confirmed(likely.distinct(), docs), labels)
+    named = found.select("id").distinct().join(shared_or_broadcast(labels, count), "id", "left")
+    named = named.select("id", F.coalesce("component", "id").alias("component"))
+    third = exact_links(found, materialize(named, "neardup-named")[0], docs)
+    labels, count = _labelled(third, labels)
     homes = (
         leaders.select("set_key", "id")
-        .join(final, "id", "left")
+        .join(shared_or_broadcast(labels, count), "id", "left")
         .select("set_key", F.coalesce("component", "id").alias("component"))
     )
     component = F.when(
