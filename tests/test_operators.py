@@ -111,11 +111,10 @@ def test_quality_without_matching_columns(spark):
     assert quality.quality_report(df).count() == 0
 
 
-@pytest.mark.parametrize("small_rows", [0, 1000])
-def test_numbering(spark, small_rows):
+def test_numbering(spark):
     words = [f"w{random.Random(i).randrange(10**6):06d}" for i in range(500)] + [None]
     df = spark.createDataFrame([(w,) for w in sorted(set(words), key=str)], "w string").repartition(5)
-    numbered = number_in_order(df, order_by=["w"], output="k", small_rows=small_rows)
+    numbered = number_in_order(df, order_by=["w"], output="k")
     rows = {r.w: r.k for r in numbered.collect()}
     ordered = sorted(w for w in rows if w is not None) + [None]
     assert rows == {w: i + 1 for i, w in enumerate(ordered)}
@@ -318,12 +317,3 @@ def test_scratch_folder():
     assert scratch_root(local) == local.folder != None  # noqa: E711
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(FakeSession("spark://x"))
-
-
-def test_spread_leaves_large_scans_alone(spark):
-    from tillmart.session import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, cores)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores

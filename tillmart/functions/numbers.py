@@ -1,7 +1,8 @@
 """Exact arithmetic for money, counts and percentages.
 
-Sums run over DECIMAL so that they do not depend on the order in which
-partitions arrive; results are handed out as DOUBLE.
+Facts hold the numbers as they were read. Sums run over their decimal reading so that
+they do not depend on the order in which partitions arrive; results are handed out as
+DOUBLE.
 """
 
 from __future__ import annotations
@@ -9,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-QUANTITY = "decimal(18,3)"
+# What sums run over: eight decimals, and room for any amount.
+EXACT = "decimal(38,8)"
 
 
 def rounded(value: Column, digits: int = 2) -> Column:
@@ -19,8 +20,8 @@ def rounded(value: Column, digits: int = 2) -> Column:
 
 
 def total(value: Column) -> Column:
-    """Sum of an exact column, as double."""
-    return F.sum(value).cast("double")
+    """Exact sum, as double."""
+    return F.sum(value.cast(EXACT)).cast("double")
 
 
 def safe_ratio(numerator: Column, denominator: Column, digits: int = 2) -> Column:
@@ -31,4 +32,4 @@ def safe_ratio(numerator: Column, denominator: Column, digits: int = 2) -> Colum
 
 def mean(value: Column, digits: int = 2) -> Column:
     """Rounded average from an exact sum and a count."""
-    return safe_ratio(F.sum(value), F.count(value), digits)
+    return safe_ratio(total(value), F.count(value), digits)

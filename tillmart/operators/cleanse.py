@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.text import column_name, null_tokens, strip
 
-LINEAGE = ("source_file", "source_path")
+LINEAGE = ("source_file", "source_path", "source_key")
 
 
 def data_columns(df: DataFrame) -> list[str]:
@@ -34,6 +34,40 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def _plain_name(raw: str) -> str:
+    return column_name(raw).replace("`", "").replace(".", "_")
+
+
+def unite_columns(df: DataFrame) -> DataFrame:
+    """Snake-case names of many files' rows.
+
+    Files may spell a name differently; each has only one of the spellings, so columns
+    whose names fall together are one column. Signs that mean something in a column
+    reference do not stay in names.
+    """
+    groups: dict[str, list[int]] = {}
+    for i, c in enumerate(df.columns):
+        groups.setdefault(c if c in LINEAGE else _plain_name(c), []).append(i)
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return flat.select(
+        *[F.coalesce(*[F.col(f"c{i}") for i in places]).alias(n) for n, places in groups.items()]
+    )
+
+
+def distinct_names(names: list[str]) -> list[str]:
+    """One file's header with repeated names told apart by a number, as .1, .2 and so on."""
+    taken: set[str] = set()
+    result = []
+    for name in names:
+        new, times = name, 0
+        while _plain_name(new) in taken or not _plain_name(new):
+            times += 1
+            new = f"{name}.{times}" if name.strip() else f"Unnamed {len(result)}.{times}"
+        taken.add(_plain_name(new))
+        result.append(new)
+    return result
+
+
 def _each_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     return df.withColumns({c: change(F.col(c)) for c in text_columns(df)})
 

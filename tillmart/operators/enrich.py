@@ -31,7 +31,8 @@ def enrich_orders(
     Narrow projections only: no shuffle and no Python worker. Without a sub
     order type column brand and platform are NULL.
     """
-    stamp = F.col(timestamp_column)
+    # A column that stayed text gives no date instead of stopping the run.
+    stamp = F.col(timestamp_column).try_cast("timestamp_ntz")
     if sub_order_type_column is None:
         nothing = F.lit(None).cast("string")
         named = df.withColumns({"brand": nothing, "platform": nothing})

@@ -39,8 +39,8 @@ def kpi_cards(
         total(F.col("total")).alias("Net Sales"),
         total(F.col("my_amount")).alias("Gross Sales"),
         orders.cast("double").alias("Orders"),
-        safe_ratio(F.sum("total"), orders).alias("Average Order Value"),
-        safe_ratio(100 * F.sum("discount"), F.sum("my_amount")).alias("Average Discount %"),
+        safe_ratio(total(F.col("total")), orders).alias("Average Order Value"),
+        safe_ratio(100 * total(F.col("discount")), total(F.col("my_amount"))).alias("Average Discount %"),
         total(F.col("total_tax")).alias("Tax"),
     )
     minutes = F.col("preparation_time_taken_mins")
@@ -49,13 +49,13 @@ def kpi_cards(
         _filtered(tables["fact_kitchen"], tables["dim_date"], "date_key", dates)
         .groupBy("kot_id")
         .agg(
-            F.sum(minutes).alias("minutes"),
+            total(minutes).alias("minutes"),
             F.count(minutes).alias("timed"),
             F.max(minutes >= SLOW_MINUTES).alias("slow"),
         )
     )
     kitchen_cards = per_ticket.agg(
-        safe_ratio(F.sum("minutes"), F.sum("timed")).alias("Average Preparation Time"),
+        safe_ratio(total(F.col("minutes")), F.sum("timed")).alias("Average Preparation Time"),
         F.count("kot_id").cast("double").alias("Kitchen Tickets"),
         F.count_if(F.col("slow") & F.col("kot_id").isNotNull()).cast("double").alias(
             "Slow Kitchen Tickets"

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# Up to this many rows a single sorted window is cheaper than two more stages.
-SMALL_ROWS = 100_000
-
 _RUN = "__run"
 
 
@@ -59,32 +56,18 @@ def running_total(
     same = F.col(_RUN) == F.col("__of")
     for c in within:
         same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    # Bounded: at most one offset row per run and group.
+    # One offset row per run and group; how to join them is decided by their size.
     summed = ranged.withColumn("__inside", F.sum(weight).over(inside))
-    return summed.join(F.broadcast(offsets), same).select(
+    return summed.join(offsets, same).select(
         *df.columns, (F.col("__inside") + F.col("__before")).alias(output)
     )
 
 
-def number_in_order(
-    df: DataFrame,
-    *,
-    order_by: Sequence[str],
-    output: str,
-    at_most: int | None = None,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def number_in_order(df: DataFrame, *, order_by: Sequence[str], output: str) -> DataFrame:
     """Number rows 1..n in ascending order, nulls last; the number comes first.
 
-    The result is stored. ``at_most`` is a known bound on the number of rows;
-    without one the rows are counted first.
+    The result is stored. Small and large tables go the same way.
     """
-    if at_most is None or at_most > small_rows:
-        df, at_most = materialize(df, "members")
-    if at_most <= small_rows:
-        position = F.row_number().over(Window.orderBy(*_ascending(order_by)))
-        numbered = df.withColumn(output, position)
-    else:
-        numbered = running_total(df, order_by=order_by, weight=F.lit(1), output=output)
+    numbered = running_total(df, order_by=order_by, weight=F.lit(1), output=output)
     key = F.col(output).cast("bigint").alias(output)
     return materialize(numbered.select(key, *df.columns), output)[0]

@@ -104,27 +104,39 @@ def profile_dates(df: DataFrame) -> DataFrame:
 
 
 def profile_dataset(df: DataFrame, dataset: str) -> DataFrame:
-    """All figures of one dataset as (dataset, column, metric, value)."""
+    """All figures of one dataset as (dataset, column, metric, value, text).
 
-    def figures(part: DataFrame, *metrics: str) -> DataFrame:
+    Numbers are in ``value``; types and timestamps are in ``text``.
+    """
+
+    def figures(part: DataFrame, *metrics: str, kind: str = "double") -> DataFrame:
         column = F.col("column_name") if "column_name" in part.columns else F.lit("*")
-        cells = {m: F.col(m).cast("double") for m in metrics}
+        cells = {m: F.col(m).cast(kind) for m in metrics}
         named = part.withColumn("column_name", column)
-        return long_format(named, cells, ["column_name"], "metric", "value")
+        return long_format(named, cells, ["column_name"], "metric", "text" if kind == "string" else "value")
 
     whole = profile_duplicates(df).withColumn("columns", F.lit(len(df.columns)))
+    columns = profile_columns(df)
     parts = [
         figures(whole, "rows", "columns", "duplicate_rows", "duplicate_percent"),
-        figures(
-            profile_columns(df),
-            "null_count", "null_percent", "distinct_count", "distinct_percent",
-        ),
+        figures(columns, "null_count", "null_percent", "distinct_count", "distinct_percent"),
         figures(
             profile_numeric(df),
             "min", "max", "mean", "median", "negative_values", "zero_values",
         ),
+        figures(_column_types(df), "dtype", kind="string"),
+        figures(profile_dates(df), "min_date", "max_date", kind="string"),
     ]
-    return union_files(parts).select(F.lit(dataset).alias("dataset"), "*")
+    return union_files(parts).select(
+        F.lit(dataset).alias("dataset"), "column_name", "metric", "value", "text"
+    )
+
+
+def _column_types(df: DataFrame) -> DataFrame:
+    """Type of every column, from the schema alone."""
+    return df.sparkSession.createDataFrame(
+        [(f.name, f.dataType.simpleString()) for f in df.schema], "column_name string, dtype string"
+    )
 
 
 def profile_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:

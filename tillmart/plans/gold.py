@@ -9,14 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import MONEY, QUANTITY
 from ..operators.lookup import LOOKUPS, attach_dimension_keys, attach_order_context
 from ..operators.numbering import number_in_order
 from ..session import materialize
 
 CALENDAR = ("business_date", "weekday", "month", "month_name", "quarter", "year")
 
-# Dimension -> (source dataset, attributes). The first attribute is the business key.
+# Fixed values. Dimension -> (source dataset, attributes). The first attribute is the business key.
 DIMENSIONS = {
     "date": ("orders", CALENDAR),
     "restaurant": ("orders", ("restaurant_name",)),
@@ -32,24 +31,24 @@ ORDER_MEASURES = (
     "round_off", "total",
 )
 
-# Fact -> column -> type, in order. These are the only declared schemas.
+# Fixed values. Fact -> column -> type, in order. These are the only declared schemas.
 FACTS = {
     "orders": {
         "date_key": "bigint", "restaurant_key": "bigint", "brand_key": "bigint",
         "platform_key": "bigint", "invoice_no": "string", "kot_no": "string",
         "daypart": "string", "order_type": "string", "status": "string",
-        "order_cancel_reason": "string", **dict.fromkeys(ORDER_MEASURES, MONEY),
+        "order_cancel_reason": "string", **dict.fromkeys(ORDER_MEASURES, "double"),
     },
     "order_items": {
         "date_key": "bigint", "restaurant_key": "bigint", "brand_key": "bigint",
         "platform_key": "bigint", "category_key": "bigint", "item_key": "bigint",
-        "invoice_no": "string", "item_quantity": QUANTITY, "item_price": MONEY,
-        "item_total": MONEY,
+        "invoice_no": "string", "item_quantity": "double", "item_price": "double",
+        "item_total": "double",
     },
     "kitchen": {
         "date_key": "bigint", "item_key": "bigint", "kot_id": "bigint",
         "order_type": "string", "server_name": "string", "item_status": "string",
-        "qty": QUANTITY, "price": MONEY, "preparation_time_taken_mins": MONEY,
+        "qty": "double", "price": "double", "preparation_time_taken_mins": "double",
     },
 }
 
@@ -68,14 +67,17 @@ class GoldLayer:
 
 
 def project(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
-    """Exactly these columns, in order and in these types; missing ones fail."""
+    """Exactly these columns, in order and in these types; missing ones fail.
+
+    A value that does not fit its type becomes NULL; Silver reports it as a finding.
+    """
     missing = [c for c in schema if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in schema.items()])
+    return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in schema.items()])
 
 
-def build_dimension(source: DataFrame, name: str, at_most: int | None = None) -> DataFrame:
+def build_dimension(source: DataFrame, name: str) -> DataFrame:
     """Distinct members in sorted order with a 1..n key in front.
 
     Rows without a business key are dropped, except in the calendar, which
@@ -86,9 +88,7 @@ def build_dimension(source: DataFrame, name: str, at_most: int | None = None) ->
     if name != "date":
         members = members.na.drop(subset=[attributes[0]])
     key = LOOKUPS[name][1]
-    return number_in_order(
-        members.distinct(), order_by=attributes, output=key, at_most=at_most
-    )
+    return number_in_order(members.distinct(), order_by=attributes, output=key)
 
 
 def build_dimensions(orders: DataFrame, order_items: DataFrame) -> dict[str, DataFrame]:
@@ -99,13 +99,12 @@ def build_dimensions(orders: DataFrame, order_items: DataFrame) -> dict[str, Dat
     """
     sources = {"orders": orders, "order_items": order_items}
 
-    def store(source: str) -> tuple[DataFrame, int]:
+    def store(source: str) -> DataFrame:
         wanted = [c for s, columns in DIMENSIONS.values() if s == source for c in columns]
-        return materialize(sources[source].select(*wanted).distinct(), f"members-{source}")
+        return materialize(sources[source].select(*wanted).distinct(), f"members-{source}")[0]
 
     def build(name: str) -> DataFrame:
-        stored, rows = members[DIMENSIONS[name][0]]
-        return build_dimension(stored, name, at_most=rows)
+        return build_dimension(members[DIMENSIONS[name][0]], name)
 
     # Driver threads only submit the jobs side by side.
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
@@ -128,7 +127,7 @@ def build_order_items_fact(
 
 def build_kitchen_fact(tickets: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Kitchen ticket item grain; dated by its punch time."""
-    dated = tickets.withColumn("business_date", F.to_date("punch_time"))
+    dated = tickets.withColumn("business_date", F.col("punch_time").try_cast("timestamp_ntz").cast("date"))
     return project(attach_dimension_keys(dated, dimensions), FACTS["kitchen"])
 
 

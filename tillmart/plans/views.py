@@ -1,7 +1,7 @@
 """The sixteen analytical views over the star schema, as Spark SQL.
 
-Every view is one aggregation over one fact, joined to small dimensions. Money
-in the facts is DECIMAL, so sums are exact whatever the partitioning; figures
+Every view is one aggregation over one fact, joined to small dimensions. Sums run over
+the decimal reading of the facts, so they are exact whatever the partitioning; figures
 leave the views as DOUBLE.
 """
 
@@ -11,9 +11,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.numbers import EXACT
+
+
+def _sum(expression: str) -> str:
+    return f"SUM(CAST({expression} AS {EXACT}))"
+
 
 def _total(expression: str, name: str) -> str:
-    return f"CAST(SUM({expression}) AS DOUBLE) AS {name}"
+    return f"CAST({_sum(expression)} AS DOUBLE) AS {name}"
 
 
 def _round(expression: str, name: str) -> str:
@@ -26,17 +32,17 @@ def _ratio(numerator: str, denominator: str, name: str, scale: str = "") -> str:
 
 
 def _mean(column: str, name: str) -> str:
-    return _ratio(f"SUM({column})", f"COUNT({column})", name)
+    return _ratio(_sum(column), f"COUNT({column})", name)
 
 
 _INVOICES = "COUNT(DISTINCT invoice_no)"
-_AOV = _ratio("SUM(total)", _INVOICES, "average_order_value")
+_AOV = _ratio(_sum("total"), _INVOICES, "average_order_value")
 _GROSS = _total("my_amount", "gross_sales")
 _DISCOUNT = _total("discount", "discount")
 _TAX = _total("total_tax", "tax")
 _NET = _total("total", "net_sales")
 
-# Views that must show every order join nothing; the others join on a key and
+# Fixed values below. Views that must show every order join nothing; the others join on a key and
 # so leave out rows whose key is missing.
 _REASON = (
     "CASE WHEN status = 'Success' THEN 'Not Cancelled' "
@@ -63,7 +69,7 @@ def _channel(group: str, source: str) -> str:
     return _select([group], measures, source, ORDER["vw_platform_performance"])
 
 
-# How each view is ordered; sinks order again by the same terms.
+# How each view is ordered; sinks order again by the same terms.
 ORDER = {
     "vw_daily_sales": "business_date NULLS LAST, restaurant_name NULLS LAST",
     "vw_platform_performance": "net_sales DESC NULLS LAST",
@@ -102,7 +108,7 @@ VIEWS = {
             _total("item_quantity", "items_sold"),
             _total("item_price * item_quantity", "gross_sales"),
             _total("item_total", "net_sales"),
-            _ratio("SUM(item_total)", "SUM(item_quantity)", "average_item_price"),
+            _ratio(_sum("item_total"), _sum("item_quantity"), "average_item_price"),
         ],
         _joined("order_items", "category"),
         ORDER["vw_category_performance"],
@@ -125,9 +131,9 @@ VIEWS = {
             "CAST(MIN(preparation_time_taken_mins) AS DOUBLE) AS minimum_preparation_time",
             "CAST(MAX(preparation_time_taken_mins) AS DOUBLE) AS maximum_preparation_time",
             # The rating looks at the average before it is rounded.
-            "CASE WHEN SUM(preparation_time_taken_mins) < 10 * COUNT(preparation_time_taken_mins)"
+            f"CASE WHEN {_sum('preparation_time_taken_mins')} < 10 * COUNT(preparation_time_taken_mins)"
             " THEN 'Excellent'"
-            " WHEN SUM(preparation_time_taken_mins) < 15 * COUNT(preparation_time_taken_mins)"
+            f" WHEN {_sum('preparation_time_taken_mins')} < 15 * COUNT(preparation_time_taken_mins)"
             " THEN 'Good' ELSE 'Needs Attention' END AS performance_status",
         ],
         _joined("kitchen"),
@@ -174,7 +180,7 @@ VIEWS = {
         [
             _total("item_quantity", "quantity_sold"),
             _total("item_total", "revenue"),
-            _ratio("SUM(item_total)", "SUM(item_quantity)", "average_item_price"),
+            _ratio(_sum("item_total"), _sum("item_quantity"), "average_item_price"),
         ],
         _joined("order_items", "category"),
         ORDER["vw_category_sales"],
@@ -194,7 +200,7 @@ VIEWS = {
         ["business_date"],
         [
             _GROSS, _DISCOUNT,
-            _ratio("SUM(discount)", "SUM(my_amount)", "discount_percentage", "100 * "),
+            _ratio(_sum("discount"), _sum("my_amount"), "discount_percentage", "100 * "),
         ],
         _joined("orders", "date"),
         ORDER["vw_discount_analysis"],

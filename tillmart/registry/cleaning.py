@@ -534,10 +534,31 @@ _DATASETS = {
 }
 
 
+# Types of the bound columns that are not text.
+_BOUND_TYPES = {
+    "order_summary": {
+        "date": "timestamp_ntz", "my_amount": "decimal(19,2)",
+        **dict.fromkeys(
+            ("total_tax", "discount", "delivery_charge", "container_charge",
+             "waived_off", "round_off", "total"), "decimal(18,2)",
+        ),
+        **dict.fromkeys(("service_charge", "additional_charge", "deduction_charge"), "bigint"),
+    },
+    "order_summary_item": {
+        "item_quantity": "double", "item_price": "decimal(18,2)", "item_total": "decimal(18,2)",
+    },
+    "kot_process_time": {
+        "kot_id": "bigint", "punch_time": "timestamp_ntz", "prepared_time": "timestamp_ntz",
+        "qty": "double", "price": "decimal(18,2)", "preparation_time_taken_mins": "decimal(18,2)",
+    },
+}
+
+
 def _unpivot(dataset: str, select: str, metrics: tuple[str, ...], column: str) -> str:
     casts = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in metrics)
     return (
-        f"SELECT '{dataset}' AS dataset, column_name, metric, value FROM"
+        f"SELECT '{dataset}' AS dataset, column_name, metric, value,"
+        " CAST(NULL AS VARCHAR) AS text FROM"
         f" (UNPIVOT (SELECT {column} AS column_name, {casts} FROM ({select}) AS figures)"
         f" ON {', '.join(metrics)} INTO NAME metric VALUE value)"
     )
@@ -555,8 +576,18 @@ def _dataset_sql(dataset: str) -> str:
     )
     per_column = " UNION ALL ".join(_column_sql(c, "", cte) for c in columns)
     per_number = " UNION ALL ".join(_numeric_sql(c, cte) for c in numbers)
+    texts = [(c, "dtype", f"'{_BOUND_TYPES[dataset].get(c, 'string')}'", "") for c in columns]
+    for c, kind in _BOUND_TYPES[dataset].items():
+        if kind == "timestamp_ntz":
+            shown = f"rtrim(rtrim(strftime({{}}({c}), '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')"
+            texts += [(c, f"{f}_date", shown.format(f), f" FROM {cte}") for f in ("min", "max")]
     return " UNION ALL ".join(
         [
+            f"SELECT '{dataset}' AS dataset, '{c}' AS column_name, '{metric}' AS metric,"
+            f" CAST(NULL AS DOUBLE) AS value, {text} AS text{source}"
+            for c, metric, text, source in texts
+        ]
+        + [
             _unpivot(
                 dataset, whole, ("rows", "columns", "duplicate_rows", "duplicate_percent"), "'*'"
             ),

@@ -344,7 +344,7 @@ def _share(spark, sf_dir):
 def _numbered(spark, sf_dir):
     names = fx.table(spark, sf_dir, "customer").select("c_name").distinct()
     # Always the range-partitioned way here, whatever the size.
-    return number_in_order(names, order_by=["c_name"], output="customer_key", small_rows=0)
+    return number_in_order(names, order_by=["c_name"], output="customer_key")
 
 
 @query(

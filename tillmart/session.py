@@ -29,18 +29,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan spread over all cores when its files are too few to keep them busy.
-
-    A file with one row group is one task. Large tables have more splits than
-    cores and are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, df.columns[0])
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
