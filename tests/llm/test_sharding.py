@@ -4,7 +4,8 @@ from tillmart.llm import sharding
 
 
 def assigned(df, shards=24):
-    return [r.asDict() for r in sharding.assign_shards(df, shards).collect()]
+    rows = sharding.assign_shards(df, shards).collect()
+    return [{"doc_id": r[0], "text": r[1], "shard": r[-1]} for r in rows]
 
 
 def test_odd_rows_stay_whole(spark, documents, odd_rows):
@@ -49,7 +50,8 @@ def test_query(spark, sf_dir):
 
 
 def test_write(spark, documents, tmp_path):
-    sharding.write_shards(sharding.assign_shards(documents([(1, "a"), (2, "b")]), 2), str(tmp_path / "s"))
+    docs = documents([(1, "a"), (2, "b")]).toDF("doc_id", "text", "a", "b", "c", "d", "e")
+    sharding.write_shards(sharding.assign_shards(docs, 2), str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).count() == 2
 
 

@@ -61,6 +61,15 @@ def map_rows(df: DataFrame, schema: str, work: Callable[[Columns], Columns]) ->
     return df.mapInArrow(run, kind)
 
 
+def map_whole(df: DataFrame, run) -> DataFrame:
+    """Apply ``run`` to Arrow batches of all columns, which keep their names and types.
+
+    Columns go by place on the way, since names may differ in case only.
+    """
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return flat.mapInArrow(run, flat.schema).toDF(*df.columns)
+
+
 def shared_or_broadcast(df: DataFrame, rows: int, most: int = 1_000_000) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows are few; else Spark shuffles."""
     return F.broadcast(df) if rows <= most else df

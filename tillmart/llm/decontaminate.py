@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import only, table
+from .common import map_whole, only, table
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.65
@@ -291,7 +291,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 clean = [not find_leaks(shared.value, t) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_whole(docs, run)
     return docs
 
 

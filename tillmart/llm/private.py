@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Columns, Taken, map_rows, materialize, only, table
+from .common import Columns, Taken, map_rows, map_whole, materialize, only, table
 from .secrets import digests
 
 # Base kinds and patterns, in the order in which ties are listed.
@@ -302,11 +302,12 @@ def replace_text(docs: DataFrame, change) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            new = pa.array([change(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            kind = batch.schema.field(at).type
+            new = pa.array([change(t) for t in batch.column(at).to_pylist()], kind)
             columns = batch.columns[:at] + [new] + batch.columns[at + 1 :]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_whole(docs, run)
 
 
 def op10_private(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,10 +32,10 @@ IMPORTANCE = np.array([16.0, 1.0, 1.0]) / 18
 
 
 def weighed(docs: DataFrame) -> DataFrame:
-    """Add ``text_key`` and the weights ``size``, ``tokens`` of each row."""
+    """``doc_id``, ``text_key`` and the weights ``size``, ``tokens`` of each row."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        "*",
+    return only(docs, "doc_id", "text").select(
+        "doc_id",
         F.xxhash64("text").alias("text_key"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("tokens"),
@@ -55,10 +55,16 @@ def place_units(weights: np.ndarray, shards: int) -> np.ndarray:
     return placed
 
 
+def _piece(doc_id: str):
+    """Unit of a row of a large group."""
+    return F.col("first_unit") + F.pmod(F.xxhash64(doc_id, "text_key"), F.col("pieces"))
+
+
 def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``) and a column ``shard`` from 0.
 
-    Reads the texts once for the weights and once for the result; no text moves.
+    Reads the texts once for the weights, once for the pieces of large groups and once
+    for the result; no text moves.
     """
     spark = docs.sparkSession
     sums = [F.sum(c).alias(c) for c in ("size", "tokens", "rows")]
@@ -89,25 +95,29 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         share = max(r["size"] / max(size, 1), r["rows"] / max(rows, 1))
         pieces = int(min(r["rows"], max(1, np.ceil(share * PARTS / 4))))
         cuts.append((r["text_key"], first, pieces))
-        units += [
-            (first + i, r["size"] / pieces, r["tokens"] / pieces, r["rows"] / pieces)
-            for i in range(pieces)
-        ]
         first += pieces
+    cut_table = spark.createDataFrame(cuts, "text_key long, first_unit long, pieces long")
+    if cuts:  # what the pieces of large groups weigh; rows without an id share one piece
+        pieces = weighed(docs).join(F.broadcast(cut_table), "text_key").withColumn("rows", F.lit(1))
+        measured = pieces.groupBy(_piece("doc_id").alias("unit")).agg(*sums).collect()
+        units += [(r["unit"], r["size"], r["tokens"], r["rows"]) for r in measured]
     weights = np.array([u[1:] for u in units], dtype=float).reshape(-1, 3)
     placed = place_units(weights, shards)
-    cut_table = spark.createDataFrame(cuts, "text_key long, first_unit long, pieces long")
     homes = spark.createDataFrame(
         [(int(u[0]), int(s)) for u, s in zip(units, placed, strict=True)], "unit long, shard int"
     )
-    part = F.pmod(F.xxhash64("doc_id", "text_key"), F.col("pieces"))
-    unit = F.coalesce(F.col("first_unit") + part, F.pmod("text_key", F.lit(BUCKETS)))
+    # Columns go by place on the way: extra ones may have any name.
+    flat = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (flat[docs.columns.index(n)] for n in ("doc_id", "text"))
+    unit = F.coalesce(_piece(doc_id), F.pmod("text_key", F.lit(BUCKETS)))
     return (
-        docs.withColumn("text_key", F.xxhash64("text"))
+        docs.toDF(*flat)
+        .withColumn("text_key", F.xxhash64(text))
         .join(F.broadcast(cut_table), "text_key", "left")
         .withColumn("unit", unit)
         .join(F.broadcast(homes), "unit")
-        .drop("unit", "first_unit", "pieces", "text_key")
+        .select(*flat, "shard")
+        .toDF(*docs.columns, "shard")
     )
 
 

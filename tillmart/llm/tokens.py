@@ -68,8 +68,6 @@ class PieceEncoder(dict):
             unit = word
         else:
             unit = word.lower()
-            if len(unit) != len(word):
-                return self.raw(word)
         if not (unit.isascii() and unit.isalpha()):
             unit = "".join([_LETTERS[b] for b in unit.encode()])
         return array("I", [t.id for t in self.tokenizer.model.tokenize(unit)]).tobytes()
@@ -86,8 +84,10 @@ class PieceEncoder(dict):
         if found is None:
             spaced, broken = self.spaced, piece[:1] == "\n"
             parts = _WORD.fullmatch(piece, broken)
-            # Latin letters only: they have one form under any normalisation.
-            if parts and max(parts[1]) < "\u0250" and parts[1].isalpha():
+            # Latin letters only: they have one form under any normalisation. A lower case
+            # of several characters may hold marks, which would join what follows.
+            plain = parts and max(parts[1]) < "\u0250" and parts[1].isalpha()
+            if plain and len(parts[1].lower()) == len(parts[1]):
                 word, tail = parts.groups()
                 if tail:
                     found = self[piece[: -len(tail)]] + self._tail(tail)

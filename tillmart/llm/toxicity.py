@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Columns, map_rows, materialize, only, table
+from .common import Columns, map_rows, map_whole, materialize, only, table
 
 SAMPLE = 20_000
 FOLDS = 5
@@ -355,7 +355,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
             texts = batch.column(at).to_pylist()
             yield batch.filter(pa.array([score(t) < threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_whole(docs, run)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
