@@ -74,6 +74,26 @@ def test_planted_items_are_found_and_clean_texts_are_not(spark, documents):
     assert {r[0] for r in kept.collect()} == {i for i, _ in rows} - {i for i, _ in want}
 
 
+def test_excerpts_of_a_long_item_are_found_at_every_offset():
+    rng, words, items = made(6)
+    for size in (129, 256, 300, 700):
+        long_item = [f"w{i}" for i in range(size)]
+        index = dc.build_index(dc.entries_of([*items, (900, " ".join(long_item))]))
+        for n in (100, 124, 145):
+            for at in range(size - n + 1):
+                before = rng.choices(words, k=rng.randint(0, 200))
+                text = " ".join(before + long_item[at : at + n] + rng.choices(words, k=50))
+                assert 900 in dc.find_leaks(index, text), (size, n, at)
+
+
+def test_parts_cover_long_items():
+    for n in range(dc.PART + 1, 1000):
+        parts = dc.parts_of(n)
+        assert max(b - a for a, b in parts) <= dc.PART
+        for at in range(n - 96 + 1):
+            assert any(at <= a and b <= at + 96 for a, b in parts)
+
+
 def test_shards_give_the_same(spark, documents, monkeypatch):
     _, _, items = made(4, n=30)
     rows = [(i, f"lorem ipsum {t} dolor") for i, t in items]

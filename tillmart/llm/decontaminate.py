@@ -1,7 +1,7 @@
 """Benchmark decontamination: every training passage asks an index of test items.
 
-Test items (parts of at most ``PART`` words of long ones) are indexed by BM25; impacts
-are divided by an item's score for itself, so one threshold serves all items. Items lie
+Test items are indexed by BM25, those of over ``PART`` words in overlapping parts (see
+``parts_of``), so that an excerpt is found wherever it starts; impacts are divided by an item's score for itself, so one threshold serves all items. Items lie
 in blocks with the largest impact of each term. A document is cut into overlapping
 passages, each at least twice as long as an item, and for every passage
 
@@ -92,6 +92,21 @@ class Index:
         return -(-len(self.entries) // BLOCK)
 
 
+def parts_of(n: int) -> list[tuple[int, int]]:
+    """Where the parts of an item of ``n`` words begin and end.
+
+    Long items are cut side by side into parts of at most ``PART`` words, and again into
+    parts of at most half as many that overlap by half: any ``3 * PART // 4`` words in a
+    row hold one of these whole.
+    """
+    if n <= PART:
+        return [(0, n)]
+    wide = -(-n // PART)
+    steps = -(-n // (PART // 4))
+    side_by_side = [(n * i // wide, n * (i + 1) // wide) for i in range(wide)]
+    return side_by_side + [(n * i // steps, n * (i + 2) // steps) for i in range(steps - 1)]
+
+
 def entries_of(items: list[tuple[int, str]]) -> list[Entry]:
     """Entries of (item_id, text) pairs."""
     found = []
@@ -103,9 +118,8 @@ def entries_of(items: list[tuple[int, str]]) -> list[Entry]:
             question, answer = question_answer(text, words)
             found.append(Entry(item_id, trigrams(question), trigrams(answer), words))
         else:
-            parts = -(-len(words) // PART)
-            for i in range(parts):
-                part = words[len(words) * i // parts : len(words) * (i + 1) // parts]
+            for start, end in parts_of(len(words)):
+                part = words[start:end]
                 cut = len(part) - max(1, len(part) // 3)
                 found.append(Entry(item_id, trigrams(part[:cut]), trigrams(part[cut:]), part))
     return found
