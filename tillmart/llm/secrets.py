@@ -8,7 +8,8 @@ and a JSON payload; an encoded text must hold a base secret itself.
 
 Defined results: a null text is empty; overlapping spans of different kinds are all
 reported; spans count code points, the end is exclusive. Added spans are cut to the
-encoded value. Nothing is decoded deeper than ``DEPTH`` layers.
+encoded value. Layers are decoded until one is too short for any secret; each is
+shorter than the one around it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import base64
 import binascii
 import json
 import re
+import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,14 +38,17 @@ ADDED = ("signed_token", "private_key", "encoded_secret")
 _RANK = {kind: i for i, kind in enumerate(BASE + ADDED)}
 
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)?")
+# Inside strings of source code or JSON, line breaks and slashes are escaped, maybe twice.
+_ESCAPE = re.compile(r"\\+(?:u00([0-9a-fA-F]{2})|[nrt\s]|(/))")
 _ARMOUR = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----"
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----"
+    r"((?:[A-Za-z0-9+/=\s]++|\\++(?:u00[0-9a-fA-F]{2}|[nrt/\s]))++)-----END \1-----"
 )
+# The shortest base secret has 18 characters: 24 of base64, 36 hex digits.
 _RUN64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_RUN16 = re.compile(r"[0-9a-fA-F]{48,}")
+_RUN16 = re.compile(r"[0-9a-fA-F]{36,}")
 # Every name that begins an assignment holds one of these.
 _NAMES = ("passw", "secret", "token", "api")
-DEPTH = 3
 _OPENSSH = b"openssh-key-v1\x00"
 
 
@@ -141,23 +146,35 @@ def is_signed_token(value: str) -> bool:
     return bool(rest and rest[0]) or header["alg"].lower() == "none"
 
 
-def _decoded(data: bytes, depth: int) -> str | None:
+def _unescape(value: str) -> str:
+    """Escaped characters written out; escaped white space is left out."""
+    return _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else m[2] or "", value)
+
+
+def _is_text(text: str) -> bool:
+    """No control characters but white space, and none without a meaning."""
+    if text.isprintable():
+        return True
+    odd = {c for c in text if not c.isprintable()} - set("\r\n\t\f\v")
+    return all(unicodedata.category(c) in ("Cf", "Zs", "Zl", "Zp") for c in odd)
+
+
+def _decoded(data: bytes) -> str | None:
     """The added kind that decoded bytes prove, if any."""
     if is_private_key(data):
         return "private_key"
     try:
-        text = data.decode("ascii")
+        text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    if not all(c.isprintable() or c in "\r\n\t" for c in text):
+    if not _is_text(text):
         return None
-    kinds = {k for k, _, _ in _base(text) if k != "hex"}
-    if depth < DEPTH:
-        kinds |= {k for k, _, _ in _added(text, depth + 1)}
-    return "encoded_secret" if kinds else None
+    if any(kind != "hex" for kind, _, _ in _base(text)) or _added(text):
+        return "encoded_secret"
+    return None
 
 
-def _added(text: str, depth: int = 1) -> list[tuple[str, int, int]]:
+def _added(text: str) -> list[tuple[str, int, int]]:
     """Spans confirmed by their structure."""
     found = []
     if "eyJ" in text:
@@ -166,14 +183,14 @@ def _added(text: str, depth: int = 1) -> list[tuple[str, int, int]]:
         ]
     if "-----BEGIN" in text:
         for m in _ARMOUR.finditer(text):
-            data = _unbase64(m[2])
+            data = _unbase64(_unescape(m[2]))
             if data and is_private_key(data):
                 found.append(("private_key", *m.span()))
     taken = Taken(found)
     for pattern, decode in ((_RUN64, _unbase64), (_RUN16, _unhex)):
         for m in pattern.finditer(text):
             data = decode(m[0])
-            kind = _decoded(data, depth) if data else None
+            kind = _decoded(data) if data else None
             if kind and taken.add(*m.span()):
                 found.append((kind, *m.span()))
     return found
