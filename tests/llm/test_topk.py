@@ -54,6 +54,19 @@ def test_small_tiles_give_the_same(spark, monkeypatch):
     assert result(spark, rows, lanes=40) == brute(rows, 20)
 
 
+def test_own_row_takes_no_place_in_a_merge(spark, monkeypatch):
+    none = topk._NONE
+    own, other = ([[none, 5]], [[0, 1]]), ([[9, 8]], [[2, 3]])
+    for a, b in ((own, other), (other, own)):
+        a, b = (tuple(topk.np.array(x, dtype="int64") for x in pair) for pair in (a, b))
+        scores, ids = topk._merge(a, b, 2)
+        assert (scores.tolist(), ids.tolist()) == ([[9, 8]], [[2, 3]])
+    rows = [(i, [math.sin(i * j) for j in range(1, 9)]) for i in range(200)]
+    monkeypatch.setattr(topk, "ROW_TILE", 7)
+    for k in (7, 10, 20):
+        assert result(spark, rows, k=k, lanes=1) == brute(rows, k)
+
+
 def test_empty(spark):
     assert result(spark, []) == set()
 

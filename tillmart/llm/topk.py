@@ -117,9 +117,9 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def _merge(a: tuple, b: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best k of two lists per query."""
+    """The best k of two lists per query; ``_NONE``, which has no negative, comes last."""
     scores, ids = (np.concatenate([x, y], axis=1) for x, y in zip(a, b, strict=True))
-    at = np.lexsort((ids, -scores), axis=1)[:, :k]
+    at = np.lexsort((ids, -scores, scores == _NONE), axis=1)[:, :k]
     return np.take_along_axis(scores, at, axis=1), np.take_along_axis(ids, at, axis=1)
 
 
