@@ -50,6 +50,19 @@ def test_trees_learn_lexical_features(spark):
     assert all(got[1000 + i] == ("block" if i % 2 else "allow") for i in range(200))
 
 
+def test_a_rare_class_is_learned(spark, monkeypatch):
+    """Three blocked URLs in 1,803, two thirds of all rows one allowed URL, a sample of 40 a class."""
+    monkeypatch.setattr(urls, "SAMPLE", 40)
+    tail = "0123456789" * 4
+    rows = [(i, f"http://h{i % 9}.com/fr/page{'x' * (i % 50)}/{i % 7}") for i in range(1800)]
+    rows += [(2000 + i, "http://hot.com/fr/page") for i in range(3600)]
+    rows += [(6000 + i, f"http://h{i}.com/de/{tail}{i}") for i in range(3)]
+    rows += [(7000, f"http://h4.net/zz/{tail}7"), (7001, "http://h4.net/zz/pagexxx/2")]
+    got = {r["page_id"]: r["verdict"] for r in urls.filter_urls(table(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    assert (got[7000], got[7001]) == ("block", "allow")
+
+
 def test_one_class_and_empty(spark):
     rows = [(1, "http://a.org/x"), (2, "http://b.net/y"), (2, "http://b.net/y"), (None, None)]
     assert {r["verdict"] for r in urls.filter_urls(table(spark, rows)).collect()} == {"allow"}

@@ -1,14 +1,14 @@
 """URL filter: rules first, gradient-boosted trees on lexical features for the rest.
 
-URLs that a rule decides are the labelled ones. From a bounded sample of them Spark's
-gradient-boosted trees learn to judge by length, depth, digit ratio, entropy, parameter
+URLs that a rule decides are the labelled ones. From at most ``SAMPLE`` distinct ones of
+each class, weighted to the class's share of all, Spark's gradient-boosted trees learn to judge by length, depth, digit ratio, entropy, parameter
 counts and suffix statistics; no word of a URL is a feature. Suffix statistics are the
 share of blocked URLs per hashed suffix over *all* labelled rows, a table of bounded
 size.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no
-rule and is judged by its other features. If the labels are of one class, or there are
-none, the trees are left out and that class, or ``allow``, is the verdict.
+rule and is judged by its other features. If all labelled rows are of one class, or there
+are none, the trees are left out and that class, or ``allow``, is the verdict.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-# Labelled rows that the trees learn from, taken by a hash of the URL.
+# Distinct labelled URLs of each class that the trees learn from, taken by a hash of the URL.
 SAMPLE = 20_000
 TREES, DEPTH = 20, 4
 BUCKETS = 1024
@@ -140,27 +140,40 @@ def featured(df: DataFrame, shares: dict[str, np.ndarray]) -> DataFrame:
     )
 
 
+def learned_rows(labelled: DataFrame, shares: dict[str, np.ndarray]) -> tuple[DataFrame | None, float]:
+    """label, weight and features of the sample, if there are both classes; else the one label."""
+    known, _ = materialize(labelled.select("url", "ruled").distinct(), "url-labelled")
+    counts = {r["ruled"]: r["count"] for r in known.groupBy("ruled").count().collect()}
+    if len(counts) < 2:
+        return None, float("block" in counts)
+    taken, weight = None, F.lit(1.0)
+    for verdict, n in sorted(counts.items()):
+        own = F.col("ruled") == verdict
+        part = known.where(own).orderBy(F.xxhash64("url"), "url").limit(SAMPLE)
+        taken = part if taken is None else taken.union(part)
+        weight = F.when(own, F.lit(n / min(n, SAMPLE))).otherwise(weight)
+    parts = with_rule(with_parts(taken.select("url", F.lit(None).cast("long").alias("page_id"))))
+    sample = featured(_suffix_columns(parts), shares).select(
+        (F.col("ruled") == "block").cast("double").alias("label"), weight.alias("weight"),
+        array_to_vector("features").alias("features"),
+    )
+    return materialize(sample, "url-sample")[0], 0.0
+
+
 def filter_urls(pages: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict, score of every page (``page_id``, ``url``)."""
     parts = _suffix_columns(with_rule(with_parts(only(pages, "page_id", "url"))))
     labelled = parts.where(F.col("ruled").isNotNull())
-    rows, _ = materialize(featured(parts, suffix_shares(labelled)), "url-features")
-    sample = (
-        rows.where(F.col("ruled").isNotNull())
-        .orderBy(F.xxhash64("host", "path", "page_id"), "page_id")
-        .limit(SAMPLE)
-        .select((F.col("ruled") == "block").cast("double").alias("label"),
-                array_to_vector("features").alias("features"))
-    )
-    sample, _ = materialize(sample, "url-sample")
-    classes = [r["label"] for r in sample.groupBy("label").count().collect()]
-    if len(classes) == 2:
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1)
+    shares = suffix_shares(labelled)
+    rows, _ = materialize(featured(parts, shares), "url-features")
+    sample, constant = learned_rows(labelled, shares)
+    if sample is not None:
+        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1, weightCol="weight")
         model = trees.fit(sample)
         judged = model.transform(rows.withColumn("features", array_to_vector("features")))
         judged = judged.withColumn("score", vector_to_array("probability")[1])
     else:
-        judged = rows.withColumn("score", F.lit(classes[0] if classes else 0.0))
+        judged = rows.withColumn("score", F.lit(constant))
     own = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return judged.select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "score"
