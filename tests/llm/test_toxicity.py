@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from tillmart.llm import toxicity
 
@@ -39,6 +40,26 @@ def test_held_out_rows_are_judged_right(spark, documents):
     assert right >= 0.97 * len(held)
 
 
+@pytest.mark.parametrize("voters", [128, 8])
+def test_wide_toxic_vocabulary(spark, documents, monkeypatch, voters):
+    """Forty sure words, each in a few toxic documents only, and one per document."""
+    monkeypatch.setattr(toxicity, "VOTERS", voters)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(400)]
+    bad = ["".join(rng.choices("rstuvwxz", k=7)) for _ in range(40)]
+    rows = []
+    for i in range(1600):
+        text = rng.choices(words, k=rng.randint(3, 60))
+        if i % 4 == 0:
+            text.insert(rng.randrange(len(text)), bad[i // 4 % 40])
+        rows.append((i, " ".join(text)))
+    docs = documents(rows)
+    model = toxicity.train(docs, labels_table(spark, [(i, 1, int(i % 4 == 0)) for i, _ in rows]))
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, model).collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((scores[i] >= 0.5) == (i % 4 == 0) for i in held) >= 0.95 * len(held)
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark, documents):
     rows, labels = corpus(400)
     other = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]

@@ -31,13 +31,16 @@ from .common import Columns, map_rows, map_whole, materialize, only, table
 
 SAMPLE = 20_000
 FOLDS = 5
-# Words and stems must occur in this many toxic documents to be looked at, and at
-# most so many candidates and voters are kept, the most telling first.
+# Words and stems must occur in this many toxic documents to be looked at. All that tell
+# are kept: the most telling vote each for itself, the others in so many groups.
 SUPPORT = 5
-CANDIDATES, VOTERS = 4096, 128
+VOTERS, GROUPS = 128, 16
 STEMS = (4, 5, 6)
-# Log-likelihood that a lexeme must tell for toxic, and its rate over the clean one.
-EVIDENCE, RATIO = 30.0, 8
+# Log-likelihood that a lexeme must tell for toxic in a full sample (less in a smaller
+# one, down to the least), and its rate over the clean one.
+EVIDENCE, LEAST_EVIDENCE, RATIO = 30.0, 15.0, 8
+# Lexemes that a task counts at a time.
+COUNTED = 500_000
 # Correlations below this are not counted against a voter.
 STRONG = 0.3
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -163,13 +166,18 @@ class ToxicityModel:
     entries: list[str]
     weights: np.ndarray
     constant: float | None = None
+    columns: np.ndarray | None = None  # feature of each entry, if not its own place
+
+    def __post_init__(self) -> None:
+        if self.columns is None:
+            self.columns = np.arange(len(self.entries))
 
     def features(self, found: dict[int, int], text: str) -> np.ndarray:
-        """Presence of each entry, how many there are, and style."""
-        x = np.zeros(len(self.entries) + len(PATTERNS) + 2)
+        """Presence of each entry or group, how many there are, and style."""
+        n = int(self.columns.max(initial=-1)) + 1
+        x = np.zeros(n + len(PATTERNS) + 2)
         for i in found:
-            x[i] = 1
-        n = len(self.entries)
+            x[self.columns[i]] = 1
         x[n : n + len(PATTERNS)] = style(text)
         x[-2] = np.log1p(sum(found.values()))
         x[-1] = 1
@@ -225,72 +233,73 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(rows, "toxicity-sample")[0]
 
 
-def _counter(chosen: frozenset[str] | None):
-    """Documents per lexeme of each partition, of all lexemes or the chosen ones."""
+def _counter(batches):
+    """Documents per lexeme of each partition, in pieces of bounded size."""
 
-    def run(batches):
-        seen: dict[str, int] = {}
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found = lexemes(text)
-                for x in found if chosen is None else found & chosen:
-                    seen[x] = seen.get(x, 0) + 1
-        yield pa.RecordBatch.from_pydict(
+    def counted(seen: dict[str, int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
             {"lexeme": list(seen), "n": list(seen.values())},
             schema=pa.schema([("lexeme", pa.string()), ("n", pa.int64())]),
         )
 
-    return run
+    seen: dict[str, int] = {}
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            for x in lexemes(text):
+                seen[x] = seen.get(x, 0) + 1
+            if len(seen) >= COUNTED:
+                yield counted(seen)
+                seen = {}
+    yield counted(seen)
+
+
+def evidence(rows: int) -> float:
+    """The log-likelihood that a lexeme must tell in a sample of so many rows."""
+    return max(LEAST_EVIDENCE, EVIDENCE * min(1.0, rows / SAMPLE))
 
 
 def candidate_lexemes(sample: DataFrame, toxic: int, clean: int) -> list[str]:
-    """Words and stems that tell toxic from clean documents of the sample, best first."""
-    counts = (
-        sample.where("toxic = 1")
-        .select("text")
-        .mapInArrow(_counter(None), "lexeme string, n long")
-        .groupBy("lexeme")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= SUPPORT)
-        .orderBy(F.desc("n"), "lexeme")
-        .limit(8 * CANDIDATES)
-    )
-    hits = {r["lexeme"]: r["n"] for r in counts.collect()}
-    others = (
-        sample.where("toxic = 0")
-        .select("text")
-        .mapInArrow(_counter(frozenset(hits)), "lexeme string, n long")
-        .groupBy("lexeme")
-        .agg(F.sum("n").alias("n"))
-    )
-    misses = {r["lexeme"]: r["n"] for r in others.collect()}
+    """All words and stems that tell toxic from clean documents of the sample, best first."""
 
-    def told(x: str) -> float:
-        a, b = hits[x] / toxic, (misses.get(x, 0) + 0.5) / (clean + 1)
-        return hits[x] * np.log(a / b)
+    def counts(label: int, name: str) -> DataFrame:
+        texts = sample.where(F.col("toxic") == label).select("text")
+        found = texts.mapInArrow(_counter, "lexeme string, n long")
+        return found.groupBy("lexeme").agg(F.sum("n").alias(name))
 
-    ratio = {x: hits[x] / toxic / ((misses.get(x, 0) + 0.5) / (clean + 1)) for x in hits}
+    rate = (F.coalesce("misses", F.lit(0)) + 0.5) / (clean + 1)
     # Among so many lexemes some look telling by chance; those told less than this.
-    telling = [x for x in hits if ratio[x] >= RATIO and told(x) >= EVIDENCE]
-    return sorted(telling, key=lambda x: (-told(x), x))[:CANDIDATES]
+    telling = (
+        counts(1, "hits")
+        .where(F.col("hits") >= SUPPORT)
+        .join(counts(0, "misses"), "lexeme", "left")
+        .withColumn("ratio", F.col("hits") / toxic / rate)
+        .withColumn("told", F.col("hits") * F.log("ratio"))
+        .where((F.col("ratio") >= RATIO) & (F.col("told") >= evidence(toxic + clean)))
+        .select("lexeme", "told")
+        .collect()  # each is held by SUPPORT documents of the bounded sample
+    )
+    return [r["lexeme"] for r in sorted(telling, key=lambda r: (-r["told"], r["lexeme"]))]
 
 
-def choose_voters(found: list[dict[int, int]], toxic: np.ndarray, candidates: list[str]) -> list[int]:
-    """The best candidates, without those that repeat a better one of the same stem."""
+def choose_voters(
+    found: list[dict[int, int]], toxic: np.ndarray, candidates: list[str]
+) -> tuple[list[int], list[int]]:
+    """The best candidates and the others, without those that repeat a better one of the same stem."""
     holders: dict[int, set[int]] = {}
     for row in np.flatnonzero(toxic == 1):
         for i in found[row]:
             holders.setdefault(i, set()).add(int(row))
     chosen: dict[str, list[int]] = {}
-    count = 0
+    best, others = set(), []
     for i, entry in enumerate(candidates):
         rows, family = holders.get(i, set()), chosen.setdefault(entry[: STEMS[0]], [])
         if rows and all(len(rows & holders[j]) < 0.9 * len(rows) for j in family):
             family.append(i)
-            count += 1
-        if count == VOTERS:
-            break
-    return [i for family in chosen.values() for i in family]
+            if len(best) < VOTERS:
+                best.add(i)
+            else:
+                others.append(i)
+    return [i for family in chosen.values() for i in family if i in best], others
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -317,14 +326,17 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     ).collect()  # SAMPLE rows at most, without their texts
     label = np.array([r["toxic"] for r in rows], dtype=float)
     found = [dict(zip(r["entries"], r["times"], strict=True)) for r in rows]
-    voters = choose_voters(found, label, candidates)
-    place = {v: j for j, v in enumerate(voters)}
-    entries = [candidates[v] for v in voters]
-    n = len(entries)
+    voters, others = choose_voters(found, label, candidates)
+    # The others, best first, are dealt into groups of the like: any of a group is its vote.
+    groups = min(GROUPS, len(others))
+    columns = [*range(len(voters)), *(len(voters) + i * groups // len(others) for i in range(len(others)))]
+    place = {v: j for j, v in enumerate(voters + others)}
+    entries = [candidates[v] for v in voters + others]
+    n = len(voters) + groups
     x = np.zeros((len(rows), n + len(PATTERNS) + 2))
     for r, (row, f) in enumerate(zip(rows, found, strict=True)):
         own = {place[i]: k for i, k in f.items() if i in place}
-        x[r, list(own)] = 1
+        x[r, [columns[j] for j in own]] = 1
         x[r, n : n + len(PATTERNS)] = row["style"]
         x[r, -2] = np.log1p(sum(own.values()))
     x[:, -1] = 1
@@ -332,7 +344,7 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     votes = np.column_stack([x[:, :n], x[:, n : n + len(PATTERNS)] > 0.5, twice, label])
     start = 0.05 + 0.9 * label
     posterior = fit_label_model(votes.astype(float), start).posterior(votes.astype(float))
-    return ToxicityModel(entries, fit_linear(x, posterior))
+    return ToxicityModel(entries, fit_linear(x, posterior), columns=np.array(columns, dtype=int))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
