@@ -103,6 +103,27 @@ def test_shards_give_the_same(spark, documents, monkeypatch):
     assert got >= {(i, i) for i, _ in items}
 
 
+def test_results_do_not_depend_on_shards(spark, documents, monkeypatch):
+    _, _, items = made(7, n=30)
+    rows = [(i, " ".join(t.split()[: max(5, i)])) for i, t in items]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = {tuple(r) for r in dc.contamination(documents(rows), benchmark).collect()}
+    monkeypatch.setattr(dc, "SHARD_BYTES", 800)
+    parts = {tuple(r) for r in dc.contamination(documents(rows), benchmark).collect()}
+    assert whole and {r[:2] for r in parts} == {r[:2] for r in whole}
+    assert dc.np.allclose(sorted(r[2] for r in parts), sorted(r[2] for r in whole))
+
+
+def test_short_items_match_word_for_word(spark, documents):
+    items = [(1, "Who wrote it?"), (2, "who wrote it"), (3, "Blue."), (4, "..."), (5, None)]
+    rows = [(1, "x who WROTE, it y"), (2, "who it wrote"), (3, "a blue one"), (4, "bluer"), (5, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in dc.contamination(documents(rows), benchmark).collect()}
+    assert got == {(d, i, 1.0, 1.0, 1.0) for d, i in [(1, 1), (1, 2), (3, 3)]}
+    kept = dc.keep_uncontaminated(documents(rows), benchmark)
+    assert {r[0] for r in kept.collect()} == {2, 4, 5}
+
+
 def test_odd_rows_and_empty_tables(spark, documents, odd_rows):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert dc.contamination(documents(odd_rows), benchmark).collect() == []

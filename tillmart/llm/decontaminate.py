@@ -11,11 +11,11 @@ passages, each at least twice as long as an item, and for every passage
    overlap. The last sentence is the answer, or the last third of a single sentence.
 
 The index is broadcast in shards of at most ``SHARD_BYTES`` of item text; more shards
-mean more passes over the documents, each reported in full. Document frequencies are
-those of the shard.
+mean more passes over the documents, each reported in full. Document frequencies, mean
+length and passages are those of all items, so results do not depend on shards.
 
 Defined results: null and empty texts hit nothing; items with fewer than ``LEAST``
-words cannot be told from ordinary text and are never reported; rows without an id are
+words are reported where the same words stand in a row, with scores of 1; rows without an id are
 reported with a null id; repeated items are reported each.
 """
 
@@ -25,11 +25,12 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import map_whole, only, table
 
@@ -74,6 +75,16 @@ class Entry:
     words: list[str]
 
 
+@dataclass
+class Statistics:
+    """What impacts take from all items: how many hold a term, how many there are, lengths."""
+
+    df: dict[str, int]
+    items: int
+    mean: float
+    longest: int
+
+
 @dataclass
 class Index:
     """Block-max impact lists over entries."""
@@ -85,6 +96,7 @@ class Index:
     block_of: np.ndarray
     block_max: np.ndarray
     cell: int
+    short: dict[tuple[str, ...], list[int]] = field(default_factory=dict)  # words -> item ids
 
     @property
     def blocks(self) -> int:
@@ -125,12 +137,29 @@ def entries_of(items: list[tuple[int, str]]) -> list[Entry]:
     return found
 
 
-def build_index(entries: list[Entry]) -> Index:
-    """BM25 impacts relative to each entry's score for itself."""
+def short_items(items: list[tuple[int, str]]) -> dict[tuple[str, ...], list[int]]:
+    """Items of fewer than ``LEAST`` words: ids by words."""
+    found: dict[tuple[str, ...], list[int]] = {}
+    for item_id, text in items:
+        words = tuple(words_of(text))
+        if 0 < len(words) < LEAST:
+            found.setdefault(words, []).append(item_id)
+    return found
+
+
+def build_index(entries: list[Entry], over: Statistics | None = None) -> Index:
+    """BM25 impacts relative to each entry's score for itself, by the statistics of all items.
+
+    Without any, each of ``entries`` counts as an item and there are no others.
+    """
     counts = [Counter(e.words) for e in entries]
-    df = Counter(t for c in counts for t in c)
-    n = len(entries)
-    mean = sum(len(e.words) for e in entries) / max(1, n)
+    if over is None:
+        total = sum(len(e.words) for e in entries)
+        longest = max([0, *(len(e.words) for e in entries)])
+        df = Counter(t for c in counts for t in c)
+        over = Statistics(df, len(entries), total / max(1, len(entries)), longest)
+    n, mean = over.items, over.mean
+    df = {t: over.df[t] for t in {t for c in counts for t in c}}
     idf = {t: np.log(1 + (n - k + 0.5) / (k + 0.5)) for t, k in df.items()}
     terms = {t: i for i, t in enumerate(sorted(df))}
     lists: list[list[tuple[int, float]]] = [[] for _ in terms]
@@ -150,7 +179,7 @@ def build_index(entries: list[Entry]) -> Index:
         block_of.append(blocks[starts])
         block_max.append(np.maximum.reduceat(values, starts))
         at.append(at[-1] + len(starts))
-    cell = max([LEAST, *(len(e.words) for e in entries)])
+    cell = max(LEAST, over.longest)
     return Index(entries, terms, postings, np.array(at), np.concatenate(block_of or [np.zeros(0, int)]),
                  np.concatenate(block_max or [np.zeros(0)]), cell)
 
@@ -232,6 +261,10 @@ def find_leaks(index: Index, text: str | None) -> dict[int, tuple[float, float,
     get = index.terms.get
     codes = np.array([get(w, -1) for w in words], dtype=np.int64)
     found: dict[int, tuple[float, float, float]] = {}
+    for n in {len(short) for short in index.short}:
+        for gram in zip(*(words[i:] for i in range(n)), strict=False):
+            for item_id in index.short.get(gram, ()):
+                found[item_id] = (1.0, 1.0, 1.0)
     for cell, terms, blocks in promising_passages(index, codes, THRESHOLD):
         grams = None
         for e, score in block_max_wand(index, terms, blocks, THRESHOLD):
@@ -247,17 +280,59 @@ def find_leaks(index: Index, text: str | None) -> dict[int, tuple[float, float,
     return found
 
 
+def statistics(benchmark: DataFrame) -> Statistics:
+    """Counts and lengths over all items that are indexed; its vocabulary comes to the driver."""
+
+    def run(batches):
+        for batch in batches:
+            items, parts, total, longest, df = 0, 0, 0, 0, Counter()
+            for text in batch.column(0).to_pylist():
+                words = words_of(text)
+                if len(words) >= LEAST:
+                    sizes = [end - start for start, end in parts_of(len(words))]
+                    items, parts, total = items + 1, parts + len(sizes), total + sum(sizes)
+                    longest = max(longest, *sizes)
+                    df.update(set(words))
+            rows = [(None, items, parts, total, longest), *((t, k, 0, 0, 0) for t, k in df.items())]
+            names = ("term", "items", "parts", "total", "longest")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64() if i else pa.string()) for i, c in enumerate(zip(*rows, strict=True))],
+                names,
+            )
+
+    sums = [F.sum(c).alias(c) for c in ("items", "parts", "total")]
+    rows = (
+        only(benchmark, "text")
+        .mapInArrow(run, "term string, items long, parts long, total long, longest long")
+        .groupBy("term")
+        .agg(*sums, F.max("longest").alias("longest"))
+        .collect()
+    )
+    df = {r["term"]: r["items"] for r in rows if r["term"] is not None}
+    whole = next((r for r in rows if r["term"] is None), None)
+    if whole is None:
+        return Statistics(df, 0, 0.0, 0)
+    return Statistics(df, whole["items"], whole["total"] / max(1, whole["parts"]), whole["longest"])
+
+
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes of all items, each of a bounded number of bytes."""
+    over = statistics(benchmark)
+
+    def build(items: list[tuple[int, str]]) -> Index:
+        index = build_index(entries_of(items), over)
+        index.short = short_items(items)
+        return index
+
     items: list[tuple[int, str]] = []
     held = 0
     for r in only(benchmark, "item_id", "text").orderBy("item_id").toLocalIterator():
         items.append((r["item_id"], r["text"] or ""))
         held += len(items[-1][1])
         if held >= SHARD_BYTES:
-            yield build_index(entries_of(items))
+            yield build(items)
             items, held = [], 0
-    yield build_index(entries_of(items))
+    yield build(items)
 
 
 _FOUND = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
