@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     binary, decontaminate, neardup, packing, private, secrets, sharding, topk, toxicity, urls,
+    whitening,
 )
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op8_token_blocks": binary.op8_token_blocks,
     "op9_url_filter": urls.op9_url_filter,
     "op10_private": private.op10_private,
+    "op11_whitening": whitening.op11_whitening,
 }
 
 ORACLES = {"op1_exact_topk": topk.OP1_SQL}
