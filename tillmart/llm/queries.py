@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from . import (
-    binary, decontaminate, neardup, packing, private, secrets, sharding, topk, toxicity, urls,
-    whitening,
+    alignment, binary, decontaminate, neardup, packing, private, secrets, sharding, topk, toxicity,
+    urls, whitening,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_url_filter": urls.op9_url_filter,
     "op10_private": private.op10_private,
     "op11_whitening": whitening.op11_whitening,
+    "op12_alignment": alignment.op12_alignment,
 }
 
 ORACLES = {"op1_exact_topk": topk.OP1_SQL}
