@@ -24,8 +24,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
-from collections import Counter
 from functools import cache
 
 import numpy as np
@@ -40,8 +38,10 @@ from .tokens import _LETTERS, REMEMBERED, PieceEncoder
 HEAD = 1 << 20
 # Entries a counting task holds before it hands them on.
 COUNTED = 1 << 21
-# Windows a worker remembers before it begins anew.
-WINDOWS = 400_000
+# Windows in one generation of a worker's memory: a full one becomes the one before.
+WINDOWS = 150_000
+# Links of a group beyond which distinct ids and their numbers take the place of links.
+LARGE = 1 << 12
 
 _STORED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
@@ -121,56 +121,95 @@ def _outlines(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return lengths, np.array([t[:1] == b" " for t in spelled])
 
 
-class Aligner(dict):
-    """(ids of one side, ids of the other) -> the alignment of a window.
+class Aligner:
+    """Alignments of windows, each found once.
 
-    An alignment is (groups, links, text, pairs, times); pairs are ``a * width + b``, packed.
+    An alignment is (groups, text, links, times): links are ``a * width + b``, packed, each
+    with its number of occurrences, or once per occurrence where there are no times.
     """
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        super().__init__()
         self.a, self.b = PlainTokens(path_a), MarkedPieces(path_b)
         self.outlines = _outlines(self.a.spelled), _outlines(self.b.spelled)
-        self.sizes = [[len(t) for t in side.spelled] for side in (self.a, self.b)]
         self.width = len(self.b.spelled)
+        # Both ids of a group's text, followed by what comes next in it.
+        self.said = [
+            [f"{i}{after}" for i in range(len(side)) for after in afters]
+            for side, afters in ((self.a.spelled, ",|"), (self.b.spelled, ",;"))
+        ]
+        self.known: dict[tuple[bytes, bytes], tuple] = {}
+        self.before: dict[tuple[bytes, bytes], tuple] = {}
 
     def ends(self, side: int, ids: np.ndarray) -> np.ndarray:
+        """Byte offsets where tokens end."""
         return np.cumsum(self.outlines[side][0][ids])
 
-    def groups(self, window: tuple[bytes, bytes]) -> list[tuple[list[int], list[int]]]:
-        """The ids of both sides between one shared end and the next."""
-        (a, b), (sizes_a, sizes_b) = (memoryview(w).cast("I") for w in window), self.sizes
-        found, left, right, ahead = [], [], [], 0
-        rest = iter(b)
-        for token in a:
-            left.append(token)
-            ahead += sizes_a[token]
-            while ahead > 0:
-                right.append(other := next(rest))
-                ahead -= sizes_b[other]
-            if not ahead:
-                found.append((left, right))
-                left, right = [], []
-        return found
+    def _align(self, windows: list[tuple[bytes, bytes]]) -> list[tuple]:
+        """Alignments of windows, side by side in one pass."""
+        sides = [np.frombuffer(b"".join(w), "<u4").astype(np.int64) for w in zip(*windows, strict=True)]
+        ends = [self.ends(side, ids) for side, ids in enumerate(sides)]
+        shared = np.intersect1d(*ends, assume_unique=True)
+        groups = [np.searchsorted(shared, e) for e in ends]
+        many, more = (np.bincount(g, minlength=len(shared)) for g in groups)
+        parts = np.cumsum([len(a) // 4 for a, _ in windows])
+        last = groups[0][parts - 1]  # the last group of each window
+        large = np.unique(np.searchsorted(last, np.flatnonzero(many * more > LARGE))).tolist()
+        if large:
+            found = iter(self._align(rest) if (rest := [w for i, w in enumerate(windows) if i not in large]) else [])
+            return [self._large(w) if i in large else next(found) for i, w in enumerate(windows)]
+
+        # Each token of the first side meets the tokens of the second in its group.
+        links = more[groups[0]]
+        upto = np.cumsum(links)
+        first = np.cumsum(more)[groups[0]] - links
+        at = np.arange(upto[-1]) + np.repeat(first - (upto - links), links)
+        pairs = (np.repeat(sides[0] * self.width, links) + sides[1][at]).tobytes()
+
+        # Tokens of a group in order, the first side's before the second's.
+        places = [np.arange(len(sides[0])) + (np.cumsum(more) - more)[groups[0]],
+                  np.arange(len(sides[1])) + np.cumsum(many)[groups[1]]]
+        texts = np.empty(len(sides[0]) + len(sides[1]), object)
+        for side in (0, 1):
+            closes = np.append(groups[side][1:] != groups[side][:-1], True)
+            texts[places[side]] = list(map(self.said[side].__getitem__, (2 * sides[side] + closes).tolist()))
+        texts = texts.tolist()
+        token_ends = (np.cumsum(many + more)[last]).tolist()
+        link_ends = (8 * upto[parts - 1]).tolist()
+        group_ends = (last + 1).tolist()
+        return [
+            (g - f, "".join(texts[i:j])[:-1], pairs[k:m], None)
+            for f, g, i, j, k, m in zip(
+                [0, *group_ends], group_ends, [0, *token_ends], token_ends, [0, *link_ends], link_ends
+            )
+        ]
 
-    def __missing__(self, window: tuple[bytes, bytes]) -> tuple:
-        texts, links, times = [], 0, Counter()
-        for a, b in self.groups(window):
-            texts.append(",".join(map(str, a)) + "|" + ",".join(map(str, b)))
-            links += len(a) * len(b)
-            if len(a) == len(b) == 1:
-                times[a[0] * self.width + b[0]] += 1
-            else:
-                others = Counter(b).items()
-                for x, n in Counter(a).items():
-                    first = x * self.width
-                    for y, m in others:
-                        times[first + y] += n * m
-        pairs = array("q", times.keys()).tobytes(), array("q", times.values()).tobytes()
-        found = (len(texts), links, ";".join(texts), *pairs)
-        if len(self) >= WINDOWS:
-            self.clear()
-        self[window] = found
+    def _large(self, window: tuple[bytes, bytes]) -> tuple:
+        """The alignment of a window with a group of very many links: by distinct ids."""
+        ids = [np.frombuffer(w, "<u4").astype(np.int64) for w in window]
+        _, *cuts = np.intersect1d(*map(self.ends, (0, 1), ids), return_indices=True)
+        groups = [np.split(side, at[:-1] + 1) for side, at in zip(ids, cuts, strict=True)]
+        texts, pairs, times = [], [], []
+        for a, b in zip(*groups, strict=True):
+            texts.append(",".join(map(str, a.tolist())) + "|" + ",".join(map(str, b.tolist())))
+            (a, many), (b, more) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+            pairs.append((a[:, None] * self.width + b).ravel())
+            times.append(np.outer(many, more).ravel())
+        pairs, times = (np.concatenate(v).tobytes() for v in (pairs, times))
+        return len(texts), ";".join(texts), pairs, times
+
+    def align(self, windows: list[tuple[bytes, bytes]]) -> list[tuple]:
+        """Alignments of a document's windows; new ones are found together."""
+        found = list(map(self.known.get, windows))
+        if None in found:
+            new = list(dict.fromkeys(w for w, f in zip(windows, found, strict=True) if f is None))
+            if len(self.known) + len(new) > WINDOWS:
+                self.before, self.known = self.known, {}
+            old = {w: f for w in new if (f := self.before.get(w))}
+            self.known |= old
+            if fresh := [w for w in new if w not in old]:
+                self.known.update(zip(fresh, self._align(fresh), strict=True))
+            known = self.known
+            found = [f or known.get(w) or self.before[w] for w, f in zip(windows, found, strict=True)]
         return found
 
     def tokens(self, text: str | None) -> tuple[bytes, bytes] | None:
@@ -210,14 +249,18 @@ class Aligner(dict):
         tokens = self.tokens(text)
         if tokens is None:
             return 0, 0, 0, 0, "", np.zeros(0, "<i8"), np.zeros(0, "<i8")
-        aligned = [self[w] for w in self.windows(tokens)]
-        groups, links, texts, pairs, times = zip(*aligned, strict=True)
+        groups, texts, links, times = zip(*self.align(self.windows(tokens)), strict=True)
         digest = hashlib.sha256(";".join(texts).encode()).hexdigest()
-        pairs, times = (np.frombuffer(b"".join(part), "<i8") for part in (pairs, times))
-        kinds, at = np.unique(pairs, return_inverse=True)
-        total = np.bincount(at, times).astype("<i8")
+        pairs = np.frombuffer(b"".join(links), "<i8")
+        if any(times):
+            each = [np.frombuffer(t, "<i8") if t else np.ones(len(p) // 8, "<i8")
+                    for p, t in zip(links, times, strict=True)]
+            kinds, at = np.unique(pairs, return_inverse=True)
+            total = np.bincount(at, np.concatenate(each)).astype("<i8")
+        else:
+            kinds, total = np.unique(pairs, return_counts=True)
         sizes = (len(t) // 4 for t in tokens)
-        return *sizes, sum(groups), sum(links), digest, kinds, total
+        return *sizes, sum(groups), int(total.sum()), digest, kinds, total
 
 
 @cache
