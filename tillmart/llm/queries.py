@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from . import (
-    alignment, binary, decontaminate, neardup, packing, private, secrets, sharding, topk, toxicity,
-    urls, whitening,
+    alignment, binary, decontaminate, maxent, neardup, packing, private, secrets, sharding, topk,
+    toxicity, urls, whitening,
 )
 
 QUERIES = {
@@ -20,6 +20,7 @@ QUERIES = {
     "op10_private": private.op10_private,
     "op11_whitening": whitening.op11_whitening,
     "op12_alignment": alignment.op12_alignment,
+    "op13_lm_scoring": maxent.op13_lm_scoring,
 }
 
 ORACLES = {"op1_exact_topk": topk.OP1_SQL}
