@@ -23,7 +23,9 @@ An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -32,14 +34,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, only, table
-from .tokens import _LETTERS, REMEMBERED, PieceEncoder
+from .tokens import _LETTERS
 
 # Most pairs that every task holds: 17 bytes each.
 HEAD = 1 << 20
 # Entries a counting task holds before it hands them on.
 COUNTED = 1 << 21
 # Windows in one generation of a worker's memory: a full one becomes the one before.
-WINDOWS = 150_000
+WINDOWS = 60_000
 # Links of a group beyond which distinct ids and their numbers take the place of links.
 LARGE = 1 << 12
 
@@ -47,72 +49,69 @@ _STORED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
     "groups_sha256 string, pairs binary, times binary"
 )
-_INSIDE = re.compile(r"(?<=[^ ])(?= )")
+# Fixed value: how byte-level vocabularies of this kind cut a text into words.
+WORDS = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+_UNUSUAL = re.compile(r"[^\x00-\u024f]|\S{500}|\s{500}")
+
 
+class PlainTokens:
+    """Byte-level ids of a whole text; special strings are plain text.
 
-class PlainTokens(PieceEncoder):
-    """Byte-level ids of a text with one space before it; special strings are plain text."""
+    Where ids follow the order of merges, as in vocabularies of this kind, the same merges
+    can be run by rank, which is several times faster. Two libraries may differ in what they
+    call a letter, so that is done for Latin texts only, and not for endless words.
+    """
 
     def __init__(self, path: str) -> None:
-        super().__init__(path, spaced=True)
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        size = self.tokenizer.get_vocab_size()
         values = {letter: b for b, letter in enumerate(_LETTERS)}
+        tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         self.spelled = [
-            bytes(values[c] for c in token) if set(token) <= values.keys() else b""
-            for token in map(self.tokenizer.id_to_token, range(size))
+            bytes(values[c] for c in token) if set(token) <= values.keys() else b"" for token in tokens
         ]
+        model = json.loads(self.tokenizer.to_str())
+        merged = [model["model"]["vocab"]["".join(pair)] for pair in model["model"].get("merges", [])]
+        added = {t["id"] for t in model["added_tokens"]}
+        ranks = {t: i for i, t in enumerate(self.spelled) if i not in added}
+        cut = model["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space")
+        self.ranked = None
+        if plain and model["normalizer"] is None and merged == sorted(merged) == sorted(
+            i for t, i in ranks.items() if len(t) > 1
+        ):
+            self.ranked = tiktoken.Encoding(
+                "ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}
+            )
 
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        if self.ranked and not _UNUSUAL.search(text):
+            return array("I", self.ranked.encode_ordinary(text)).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-class MarkedPieces(dict):
-    """piece -> ids of a sentence-piece model, which puts a space before every text.
 
-    Where no piece of the vocabulary goes from another character into a space or holds a
-    line break, nothing merges across those borders and the parts of a text may be encoded
-    one by one. A key that begins with a line break stands for itself without a space.
-    """
+class MarkedPieces:
+    """Ids of a sentence-piece model, which puts a space before every text."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
 
-        super().__init__()
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(self.model.get_piece_size())
-        pieces = [self.model.id_to_piece(i) for i in ids]
         self.spelled = [
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
-            for i, p in zip(ids, pieces, strict=True)
+            for i, p in zip(ids, map(self.model.id_to_piece, ids), strict=True)
         ]
-        self.parted = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
-        self.before: dict[str, bytes] = {}
-        self.faithful = True
-
-    def raw(self, text: str) -> bytes:
-        """Ids of ``text`` with the space that the model adds."""
-        ids = self.model.encode(text) or self.model.piece_to_id(["▁"])
-        if b"".join(map(self.spelled.__getitem__, ids)) != b" " + text.encode():
-            self.faithful = False
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self.before.get(piece)
-        if found is None:
-            # The space before a line break is a token of its own, four bytes here.
-            found = self.raw(piece)[4 if piece[:1] == "\n" else 0 :]
-        self[piece] = found
-        return found
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text."""
-        if not self.parted:
-            return self.raw(text)
-        if len(self) > REMEMBERED:
-            self.before = dict(self)
-            self.clear()
-        if "  " in text or " \n" in text or text[:1] in (" ", "\n"):
-            parts = [p[1:] for p in _INSIDE.split(" " + text)]
-            return b"".join([self.raw(p) if p[:1] == "\n" else self[p] for p in parts])
-        return b"".join(map(self.__getitem__, text.replace("\n", " \n").split(" ")))
+        return array("I", self.model.encode(text)).tobytes()
 
 
 def _outlines(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +138,11 @@ class Aligner:
         ]
         self.known: dict[tuple[bytes, bytes], tuple] = {}
         self.before: dict[tuple[bytes, bytes], tuple] = {}
+        # Where each token's bytes begin in all tokens' bytes, and those.
+        self.letters = [
+            (np.cumsum(lengths) - lengths, np.frombuffer(b"".join(side.spelled), np.uint8))
+            for side, (lengths, _) in zip((self.a, self.b), self.outlines, strict=True)
+        ]
 
     def ends(self, side: int, ids: np.ndarray) -> np.ndarray:
         """Byte offsets where tokens end."""
@@ -216,28 +220,35 @@ class Aligner:
         """Ids of both sides, if both spell the text with a space before it."""
         if not text:
             return None
-        whole = (" " + text).encode()
-        found = self.a.encode(" " + text), self.b.encode(text)
-        ids = [np.frombuffer(f, dtype="<u4") for f in found]
-        if any(self.outlines[s][0][i].sum() != len(whole) for s, i in enumerate(ids)):
-            return None
-        if not self.b.faithful:
-            for side, spelled in zip(ids, (self.a.spelled, self.b.spelled), strict=True):
-                if b"".join(map(spelled.__getitem__, side.tolist())) != whole:
-                    return None
+        whole = " " + text
+        found, spelled = (self.a.encode(whole), self.b.encode(text)), whole.encode()
+        for side, ids in enumerate(found):
+            # The spelling is made in one gather from all tokens' bytes.
+            if not self._spells(side, np.frombuffer(ids, "<u4"), spelled):
+                return None
         return found
 
+    def _spells(self, side: int, ids: np.ndarray, spelled: bytes) -> bool:
+        lengths = self.outlines[side][0][ids]
+        ends = np.cumsum(lengths)
+        if not len(ends) or ends[-1] != len(spelled):
+            return False
+        starts, letters = self.letters[side]
+        at = np.repeat(starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1])
+        return letters[at].tobytes() == spelled
+
     def windows(self, tokens: tuple[bytes, bytes]) -> list[tuple[bytes, bytes]]:
         """The windows between anchors."""
         starts = []
         for side, found in enumerate(tokens):
             ids = np.frombuffer(found, dtype="<u4")
             marked = np.flatnonzero(self.outlines[side][1][ids[1:]])
-            starts.append((self.ends(side, ids)[marked], marked + 1))
+            starts.append((self.ends(side, ids)[marked], 4 * (marked + 1)))
         (ends_a, at_a), (ends_b, at_b) = starts
-        _, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        cuts_a = [0, *(4 * at_a[in_a]).tolist(), len(tokens[0])]
-        cuts_b = [0, *(4 * at_b[in_b]).tolist(), len(tokens[1])]
+        near = np.searchsorted(ends_b, ends_a)
+        shared = np.flatnonzero(ends_a == np.append(ends_b, -1)[near])
+        cuts_a = [0, *at_a[shared].tolist(), len(tokens[0])]
+        cuts_b = [0, *at_b[near[shared]].tolist(), len(tokens[1])]
         a, b = tokens
         return [
             (a[i:j], b[k:m])
