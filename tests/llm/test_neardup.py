@@ -100,6 +100,23 @@ def test_odd_rows(documents, odd_rows):
     assert kept.count() == len(odd_rows) - 1
 
 
+def test_ids_that_repeat_with_other_texts(documents):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(12)) for x in "abcd")
+    rows = [(3, a), (5, a), (5, b), (7, c), (8, d), (8, d), (8, b + " more"), (9, c), (2, "")]
+    rows += [(2, d + " end"), (None, a), (11, None), (11, b), (6, "x y"), (6, "y x")]
+    got = sorted(map(str, neardup.near_duplicates(documents(rows)).collect()))
+    kept = [(r.doc_id, r.text) for r in neardup.only(neardup.keep_one(documents(rows)), "doc_id", "text").collect()]
+    assert len(got) == len(rows)
+    # A row goes only where a kept row of another id stands for its very text.
+    texts = {t: brute([(i, t) for i, t in enumerate({t for _, t in rows})]) for t in [a]}[a]
+    alike = {t: texts[i][1] for i, t in enumerate({t for _, t in rows})}
+    for i, t in rows:
+        assert any(alike[t] == alike[u] for _, u in kept), (i, t)
+    assert (5, a) not in kept and (5, b) in kept and (3, a) in kept and (11, b) not in kept
+    assert kept.count((8, d)) == 0 and (2, d + " end") in kept and (8, b + " more") not in kept
+    assert {(6, "x y"), (6, "y x"), (None, a), (11, None), (2, "")} <= set(kept)
+
+
 def test_empty(documents):
     assert neardup.near_duplicates(documents([])).collect() == []
 

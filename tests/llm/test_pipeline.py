@@ -5,7 +5,7 @@ from tillmart.llm.queries import ORACLES, QUERIES
 
 def test_registered():
     names = set(queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in names if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in names if q.startswith("op")}
     assert "pipeline" in names and set(QUERIES) <= names and set(ORACLES) <= set(oracle_sql())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
