@@ -13,6 +13,8 @@ from pyspark.sql.types import StringType
 from ..functions.text import column_name, null_tokens, strip
 
 LINEAGE = ("source_file", "source_path", "source_key")
+# Names that rows carry on their way into the layers.
+INTERNAL = ("__wide", "__unreadable")
 
 
 def data_columns(df: DataFrame) -> list[str]:
@@ -55,8 +57,11 @@ def unite_columns(df: DataFrame) -> DataFrame:
 
 
 def distinct_names(names: list[str]) -> list[str]:
-    """One file's header with repeated names told apart by a number, as .1, .2 and so on."""
-    taken: set[str] = set()
+    """One file's header with repeated names told apart by a number, as .1, .2 and so on.
+
+    Names of lineage columns count as taken, however a file spells them.
+    """
+    taken = {*LINEAGE, *map(_plain_name, INTERNAL)}
     result = []
     for name in names:
         new, times = name, 0

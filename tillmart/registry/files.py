@@ -14,7 +14,7 @@ from ..plans.batch import run_batch
 from ..plans.views import VIEWS, create_views
 from ..session import scratch_path
 from ..sinks import layers, reports, warehouse
-from ..sources import csv_files, landing, workbook
+from ..sources import csv_files, intake, landing, workbook
 from . import fixtures as fx
 from .base import query
 from .raw import landing as landing_root
@@ -66,27 +66,47 @@ def _scan_csv(spark, sf_dir):
     )
 
 
+_BAD = (csv_files.TOO_WIDE, intake.UNCLOSED, intake.TOO_MANY)
+
+
+def _write_lines(df, path):
+    """Append rows of one text column to a folder of CSV files as they stand."""
+    raw = df.write.mode("append").format("csv")
+    raw.options(header=False, quote="", escape="", sep="\x01").save(path)
+
+
 @query(
     "scan_isolate_bad_files",
-    "SELECT 'read' AS outcome, count(*) AS n FROM lines"
-    " UNION ALL SELECT 'row wider than the header', 1 FROM orders HAVING count(*) > 0",
+    "SELECT restaurant_name, CAST(invoice_no AS VARCHAR) AS invoice_no, item_name,"
+    " NULL AS named_source_file, NULL AS reason FROM lines"
+    " UNION ALL SELECT NULL, CAST(o_orderkey AS VARCHAR), NULL, o_orderpriority, NULL FROM orders"
+    " UNION ALL SELECT NULL, NULL, NULL, NULL, reason"
+    f" FROM (VALUES {', '.join(f'({r!r})' for r in _BAD)}) AS bad(reason)",
 )
 def _isolate(spark, sf_dir):
+    """Files of every kind of bad header beside good ones, one with a column called as ours."""
     root = scratch_path(spark, "isolate")
+    folder = f"{root}/order_summary_item"
+    orders = fx.table(spark, sf_dir, "orders")
     lines = fx.lines(spark, sf_dir).select("restaurant_name", "invoice_no", "item_name")
-    lines.write.csv(f"{root}/order_summary_item", header=True)
+    lines.write.csv(folder, header=True)
+    named = orders.select(F.col("o_orderkey").alias("invoice_no"), F.col("o_orderpriority").alias("source_file"))
+    named.write.mode("append").csv(folder, header=True)
     # Every block starts with a two-column header and goes on with three cells.
     block = F.concat(F.lit("order,customer\n"), F.concat_ws(",", "o_orderkey", "o_custkey", "o_custkey"))
-    broken = fx.table(spark, sf_dir, "orders").select(block)
-    broken.write.option("compression", "none").text(f"{root}/staged")
-    spark.read.text(f"{root}/staged").write.mode("append").format("csv").options(
-        header=False, quote="", escape="", sep="\x01"
-    ).save(f"{root}/order_summary_item")
-    files = landing.discover_reports(spark, root)
-    rows, aside = csv_files.read_csv_files(files)
-    read = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("read").alias("outcome"), "n")
-    reasons = aside.select(F.col("reason").alias("outcome"), F.lit(1).alias("n")).distinct()
-    return read.unionByName(reasons)
+    orders.select(block).write.option("compression", "none").text(f"{root}/staged")
+    _write_lines(spark.read.text(f"{root}/staged"), folder)
+    one = orders.agg(F.max("o_orderkey").cast("string").alias("last"))
+    wide = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(25_000)), lambda i: F.concat(F.lit("c"), i)), ",")
+    for header in (F.lit('"order,customer'), wide):
+        _write_lines(one.select(F.explode(F.array(header, "last"))), folder)
+    rows, aside = csv_files.read_csv_files(landing.discover_reports(spark, root))
+    read = rows.select(
+        "restaurant_name", "invoice_no", "item_name",
+        F.col("`source_file.1`").alias("named_source_file"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    return read.unionByName(aside.select("reason").distinct(), allowMissingColumns=True)
 
 
 @query(
