@@ -225,6 +225,40 @@ def test_hot_order_key_is_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_hot_header_keys_are_cut_into_rectangles(spark):
+    """A third of the headers and many lines on one key, NULLs on another; same rows as a join."""
+    lines = spark.range(0, 3000).select(
+        F.when(F.col("id") % 10 > 0, F.lit("r")).alias("restaurant_name"),
+        F.when(F.col("id") % 10 > 0, F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("invoice_no"),
+        F.col("id").cast("string").alias("item_name"),
+    )
+    headers = spark.range(0, 900).select(
+        F.when(F.col("id") % 10 > 1, F.lit("r")).alias("restaurant_name"),
+        F.when(F.col("id") % 10 > 1, F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("invoice_no"),
+        F.current_date().alias("business_date"), F.col("id").cast("string").alias("brand"),
+        F.lit("p").alias("platform"),
+    )
+    confs = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        plain = attach_order_context(lines, headers, worth=10**9)
+        cut = attach_order_context(lines, headers, worth=1)
+        rows = [sorted(map(str, df.collect())) for df in (plain, cut)]
+        assert rows[0] == rows[1] and len(rows[0]) > 200_000
+        sizes = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 3 * sum(sizes) / 16
+        whole = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(whole) > 8 * sum(whole) / 16
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_project_fails_on_missing_column(spark):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(ValueError, match="b"):
