@@ -259,6 +259,19 @@ def test_hot_header_keys_are_cut_into_rectangles(spark):
             spark.conf.set(k, v)
 
 
+def test_samples_of_failing_lookups(spark):
+    keyed = spark.range(1000).select(
+        "id", F.lit("b").alias("brand"), F.when(F.col("id") % 2 == 0, 1).alias("brand_key"),
+        F.concat(F.lit("i"), "id").alias("item_name"), F.when(F.col("id") > 2, 7).alias("item_key"),
+    )
+    rows = [
+        sorted(map(tuple, reconcile.failing_samples(keyed.repartition(n), "f", 5).collect())) for n in (1, 7)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) == 8
+    assert {(r[1], r[2]) for r in rows[0] if r[1] == "item_key"} == {("item_key", f"i{i}") for i in range(3)}
+    assert all('"brand":"b"' in r[3] for r in rows[0])
+
+
 def test_project_fails_on_missing_column(spark):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(ValueError, match="b"):
