@@ -47,8 +47,9 @@ STAGES = [
     ("packing", pack),
 ]
 
-# The stages learn models and compare sets of words; SQL cannot express them. The
-# tests hold each stage against a brute-force version.
+# The stages learn models and compare sets of words; SQL cannot express them. Tests hold
+# near duplicates, decontamination, base spans and packing against plain versions of the
+# operators; toxicity is measured by held-out accuracy.
 ORACLE_SQL = None
 
 
