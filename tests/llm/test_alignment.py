@@ -148,6 +148,18 @@ def test_tokens_equal_whole_texts(brute):
                 assert alignment.np.frombuffer(m, "<u4").tolist() == ids, text
 
 
+def test_merges_by_rank_equal_the_tokenizer(brute):
+    known = alignment.PlainTokens(A)
+    assert known.ranked
+    rng = random.Random(6)
+    pool = [chr(c) for c in range(0x250)] + ["'s", "'S", "  ", "\n", "the", "don't", "12", "<|endoftext|>", "日"] * 6
+    texts = ["".join(rng.choices(pool, k=rng.randint(1, 12))) for _ in range(20_000)]
+    for text in [*texts, "x" * 3000, " " * 600 + "a", "a " * 700, "a  " * 700]:
+        assert known.encode(text) == brute.a.encode(text, add_special_tokens=False).ids, text
+    assert alignment._endless("b " + "x" * 500) and alignment._endless("a" + " " * 500)
+    assert not alignment._endless("a  " * 700)
+
+
 def test_windows_end_where_both_words_end():
     known = alignment.Aligner(A, B)
     windows = known.windows(known.tokens("one two  three"))

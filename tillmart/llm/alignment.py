@@ -53,7 +53,17 @@ _STORED = (
 WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-_UNUSUAL = re.compile(r"[^\x00-\u024f]|\S{500}|\s{500}")
+_OTHER = re.compile(r"[^\x00-\u024f]")
+_LONG_GAP = re.compile(r"\s{500}")
+
+
+def _endless(text: str) -> bool:
+    """Whether a run of letters or of blanks has 500 or more."""
+    parts = text.split()
+    if parts and max(map(len, parts)) >= 500:
+        return True
+    blanks = len(text) - sum(map(len, parts))
+    return blanks - len(parts) >= 498 and _LONG_GAP.search(text) is not None
 
 
 class PlainTokens:
@@ -89,11 +99,11 @@ class PlainTokens:
                 "ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}
             )
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
-        if self.ranked and not _UNUSUAL.search(text):
-            return array("I", self.ranked.encode_ordinary(text)).tobytes()
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.ranked and (text.isascii() or not _OTHER.search(text)) and not _endless(text):
+            return self.ranked.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 class MarkedPieces:
@@ -109,9 +119,9 @@ class MarkedPieces:
             for i, p in zip(ids, map(self.model.id_to_piece, ids), strict=True)
         ]
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
-        return array("I", self.model.encode(text)).tobytes()
+        return self.model.encode(text)
 
 
 def _outlines(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -138,11 +148,6 @@ class Aligner:
         ]
         self.known: dict[tuple[bytes, bytes], tuple] = {}
         self.before: dict[tuple[bytes, bytes], tuple] = {}
-        # Where each token's bytes begin in all tokens' bytes, and those.
-        self.letters = [
-            (np.cumsum(lengths) - lengths, np.frombuffer(b"".join(side.spelled), np.uint8))
-            for side, (lengths, _) in zip((self.a, self.b), self.outlines, strict=True)
-        ]
 
     def ends(self, side: int, ids: np.ndarray) -> np.ndarray:
         """Byte offsets where tokens end."""
@@ -221,21 +226,12 @@ class Aligner:
         if not text:
             return None
         whole = " " + text
-        found, spelled = (self.a.encode(whole), self.b.encode(text)), whole.encode()
-        for side, ids in enumerate(found):
-            # The spelling is made in one gather from all tokens' bytes.
-            if not self._spells(side, np.frombuffer(ids, "<u4"), spelled):
+        spelled = whole.encode()
+        found = self.a.encode(whole), self.b.encode(text)
+        for side, ids in zip((self.a, self.b), found, strict=True):
+            if b"".join(map(side.spelled.__getitem__, ids)) != spelled:
                 return None
-        return found
-
-    def _spells(self, side: int, ids: np.ndarray, spelled: bytes) -> bool:
-        lengths = self.outlines[side][0][ids]
-        ends = np.cumsum(lengths)
-        if not len(ends) or ends[-1] != len(spelled):
-            return False
-        starts, letters = self.letters[side]
-        at = np.repeat(starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1])
-        return letters[at].tobytes() == spelled
+        return array("I", found[0]).tobytes(), array("I", found[1]).tobytes()
 
     def windows(self, tokens: tuple[bytes, bytes]) -> list[tuple[bytes, bytes]]:
         """The windows between anchors."""
