@@ -28,3 +28,16 @@ def test_header_scores_stay_above_the_grid(grid):
     }
     filters = [line for line in _plan(found).splitlines() if "Filter" in line]
     assert not any("exists" in line for line in filters)
+
+
+@pytest.mark.parametrize("books", [0, 100_000])
+def test_grid_is_never_broadcast(grid, monkeypatch, books):
+    monkeypatch.setattr(workbook, "BROADCAST_BOOKS", books, raising=False)
+    rows = workbook.promote_header(grid, workbook.detect_header_row(grid))
+    assert rows.columns == ["path", "row_idx", "Item", "Qty", "Outlet"]
+    assert {tuple(r) for r in rows.collect()} == {
+        ("a", 2, "tea", "1", None), ("b", 1, None, "2", "x"), ("b", 2, None, "3", None),
+    }
+    plan = _plan(rows)
+    assert "BuildLeft" not in plan
+    assert ("SortMergeJoin [path" in plan) is (books == 0)
