@@ -1,7 +1,9 @@
 """Plans and sides of joins that have to hold on tables much larger than these."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from tillmart.registry import QUERIES
 from tillmart.sources import workbook
 
 
@@ -41,3 +43,9 @@ def test_grid_is_never_broadcast(grid, monkeypatch, books):
     plan = _plan(rows)
     assert "BuildLeft" not in plan
     assert ("SortMergeJoin [path" in plan) is (books == 0)
+
+
+def test_text_keys_are_not_broadcast(spark, sf_dir):
+    found = QUERIES["key_to_string"](spark, sf_dir)
+    assert "BroadcastHashJoin" not in _plan(found)
+    assert found.agg(F.sum("lines")).first()[0] > 0
