@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmart.registry import QUERIES
-from tillmart.sources import workbook
+from tillmart.sources import csv_files, landing, workbook
 
 
 def _plan(df):
@@ -49,3 +49,22 @@ def test_text_keys_are_not_broadcast(spark, sf_dir):
     found = QUERIES["key_to_string"](spark, sf_dir)
     assert "BroadcastHashJoin" not in _plan(found)
     assert found.agg(F.sum("lines")).first()[0] > 0
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_read_rows_are_not_shuffled_for_wide_files(spark, tmp_path, wide):
+    """Wide files are found first; even without any broadcast by size no row is shuffled."""
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "good.csv").write_text("a,b\n1,2\n3,4\n")
+    (tmp_path / "r" / "other.csv").write_text("a,b\n5,6\n" + "7,8,9\n" * wide)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows, aside = csv_files.read_csv_files(landing.discover_reports(spark, str(tmp_path)))
+        assert "Exchange hashpartitioning" not in _plan(rows)
+        assert rows.columns == ["a", "b", "source_file", "source_path"]
+        good = {("1", "2", "good.csv"), ("3", "4", "good.csv")}
+        assert {tuple(r)[:3] for r in rows.collect()} == good | ({("5", "6", "other.csv")} if not wide else set())
+        assert [(r.source_file, r.reason) for r in aside.collect()] == [("other.csv", csv_files.TOO_WIDE)] * wide
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
