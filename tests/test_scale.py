@@ -1,8 +1,11 @@
 """Plans and sides of joins that have to hold on tables much larger than these."""
 
+from threading import Barrier
+
 import pytest
 from pyspark.sql import functions as F
 
+from tillmart.operators import profile
 from tillmart.registry import QUERIES
 from tillmart.sources import csv_files, landing, workbook
 
@@ -68,3 +71,15 @@ def test_read_rows_are_not_shuffled_for_wide_files(spark, tmp_path, wide):
         assert [(r.source_file, r.reason) for r in aside.collect()] == [("other.csv", csv_files.TOO_WIDE)] * wide
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_datasets_are_profiled_side_by_side(spark, monkeypatch):
+    both = Barrier(2, timeout=30)
+
+    def met(df, name):
+        both.wait()
+        return df.withColumn("dataset", F.lit(name))
+
+    monkeypatch.setattr(profile, "profile_dataset", met)
+    found = profile.profile_datasets({"a": spark.range(1), "b": spark.range(2)})
+    assert [r.dataset for r in found.orderBy("dataset").collect()] == ["a", "b", "b"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,4 +142,6 @@ def _column_types(df: DataFrame) -> DataFrame:
 
 def profile_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Profiles of several datasets in one frame."""
-    return union_files(profile_dataset(df, name) for name, df in datasets.items())
+    # Driver threads only submit the jobs that store the sorted runs; datasets are independent.
+    with ThreadPoolExecutor(4) as pool:
+        return union_files(pool.map(lambda item: profile_dataset(item[1], item[0]), datasets.items()))
