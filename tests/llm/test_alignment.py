@@ -167,3 +167,35 @@ def test_windows_end_where_both_words_end():
     assert len(windows) >= 3
     again = known.windows(known.tokens("two one"))
     assert windows[0] in again
+
+
+def test_known_words_are_not_tokenised_again(brute):
+    known, seen = alignment.Aligner(A, B), []
+    for side in (known.a, known.b):
+        side.encode = lambda text, whole=side.encode: seen.append(text) or whole(text)
+    first = known.document("one two,\n three  four")
+    assert seen and known.document("two,\n three  four one one two,\n three  four")[:2] != first[:2]
+    seen.clear()
+    assert known.document("one two,\n three  four")[:5] == first[:5] and not seen
+    known.document("one five")
+    assert seen == [" five", "five"]
+
+
+def test_cut_texts_equal_whole_texts(monkeypatch):
+    cut, whole = alignment.Aligner(A, B), alignment.Aligner(A, B)
+    assert cut.apart
+    whole.apart = False
+    monkeypatch.setattr(alignment, "PARTS", 50)
+    rng = random.Random(7)
+    pool = [*PIECES, "\x1c", "\x85", "\u180e", "\xa0", " ", " the"]
+    for k in range(3000):
+        text = "".join(rng.choices(pool, k=rng.randint(0, 20 if k % 100 else 300)))
+        (*a, kinds, times), (*b, other, others) = cut.document(text), whole.document(text)
+        assert (a, kinds.tolist(), times.tolist()) == (b, other.tolist(), others.tolist()), text
+    assert "".join(alignment.parts(" a  b\n c\t  d ")) == " a  b\n c\t  d "
+    cut.words.clear(), cut.words_before.clear()
+    cut.document("ending here")
+    assert cut.document("ending here ")[:5] == whole.document("ending here ")[:5]
+    # A group of very many links, inside a word that is cut and one that is not.
+    for text in ("go " + "ab" * 3000 + " on", "go\n" + "日本" * 3000 + " on"):
+        assert [str(x) for x in cut.document(text)] == [str(x) for x in whole.document(text)]

@@ -1,17 +1,22 @@
 """Alignment of two tokenizers over the same texts, by windows between shared word starts.
 
-1. Each text is tokenised whole by both. Byte offsets where tokens of both end, and where
-   the next token of both begins with a space, are anchors: they cut the document into
-   windows of token ids. Anchors are shared ends, so no group of tokens crosses one.
-2. A window is aligned once per worker: the answer depends on its ids alone and is
-   remembered by the tuple of both id strings. Words repeat, so most windows are known.
+1. Each text is cut where both tokenizers cut it whatever comes before and after: before a
+   space that follows a character that is no white space. The parts are words, mostly. New
+   ones of a document are tokenised together; the ids are those of the whole text. A pair
+   of vocabularies that may join such parts gets its texts whole.
+2. Byte offsets where tokens of both end, and where the next token of both begins with a
+   space, are anchors: they cut the parts into windows of token ids. Anchors are shared
+   ends, so no group of tokens crosses one. A window is aligned once per worker: the answer
+   depends on its ids alone and is remembered by the tuple of both id strings; the answer
+   for a part is remembered by its text. Words repeat, so most parts are known.
 3. Distinct linked id pairs of each document are stored as packed integers. Tasks count
    them before the shuffle; one row per pair of ids reaches the counts table.
 4. Counts come back to the documents in two ways, always both: the most frequent pairs, at
    most ``HEAD`` of them, are sorted arrays in every task, so a pair that most documents
    hold is never shuffled; all other pairs meet their counts in a join.
 
-Memory: one batch of documents, the remembered windows of a worker, ``HEAD`` pairs. The
+Memory: one batch of documents, the remembered words and windows of a worker, ``HEAD``
+pairs. Parts beyond ``LONG`` characters are not remembered by text. The
 distinct pairs of one document are held at once, as its definition needs.
 
 Defined results: a text that is null or empty, or that the tokens of either tokenizer do not
@@ -42,6 +47,9 @@ HEAD = 1 << 20
 COUNTED = 1 << 21
 # Windows in one generation of a worker's memory: a full one becomes the one before.
 WINDOWS = 60_000
+# Words in one generation of a worker's memory, and most characters of one.
+PARTS = 120_000
+LONG = 64
 # Links of a group beyond which distinct ids and their numbers take the place of links.
 LARGE = 1 << 12
 
@@ -55,6 +63,10 @@ WORDS = (
 )
 _OTHER = re.compile(r"[^\x00-\u024f]")
 _LONG_GAP = re.compile(r"\s{500}")
+# Where texts are cut, and whether white space before a space leaves some spaces uncut.
+# A space at the end is no part of its own: it would be an empty text to the second side.
+_CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
+_UNCUT = re.compile(r"\s ")
 
 
 def _endless(text: str) -> bool:
@@ -91,6 +103,8 @@ class PlainTokens:
         ranks = {t: i for i, t in enumerate(self.spelled) if i not in added}
         cut = model["pre_tokenizer"] or {}
         plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space")
+        # Whether no token holds what comes before and after a cut.
+        self.apart = plain and cut.get("use_regex", True) and model["normalizer"] is None
         self.ranked = None
         if plain and model["normalizer"] is None and merged == sorted(merged) == sorted(
             i for t, i in ranks.items() if len(t) > 1
@@ -111,6 +125,7 @@ class MarkedPieces:
 
     def __init__(self, path: str) -> None:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(self.model.get_piece_size())
@@ -118,12 +133,32 @@ class MarkedPieces:
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in zip(ids, map(self.model.id_to_piece, ids), strict=True)
         ]
+        # Whether no token holds what comes before and after a cut. Merges on one side of
+        # it then never touch the other; other kinds of models weigh whole texts.
+        made = sentencepiece_model_pb2.ModelProto.FromString(self.model.serialized_model_proto())
+        kept = made.normalizer_spec
+        self.apart = (
+            made.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
+            and not kept.precompiled_charsmap
+            and kept.add_dummy_prefix
+            and not kept.remove_extra_whitespaces
+            and kept.escape_whitespaces
+            and not made.trainer_spec.treat_whitespace_as_suffix
+            and not any(" " in p.lstrip(" ") for p in (q.piece.replace("▁", " ") for q in made.pieces))
+        )
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
         return self.model.encode(text)
 
 
+def parts(text: str) -> list[str]:
+    """A text that begins with a space, cut before each space that no white space precedes."""
+    if _UNCUT.search(text) or text[-1] == " ":
+        return _CUT.split(text)
+    return [" " + word for word in text[1:].split(" ")]
+
+
 def _outlines(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Length of each token, and whether it begins with a space."""
     lengths = np.array([len(t) for t in spelled], dtype=np.int64)
@@ -148,6 +183,9 @@ class Aligner:
         ]
         self.known: dict[tuple[bytes, bytes], tuple] = {}
         self.before: dict[tuple[bytes, bytes], tuple] = {}
+        self.apart = self.a.apart and self.b.apart
+        self.words: dict[str, tuple] = {}
+        self.words_before: dict[str, tuple] = {}
 
     def ends(self, side: int, ids: np.ndarray) -> np.ndarray:
         """Byte offsets where tokens end."""
@@ -251,12 +289,57 @@ class Aligner:
             for i, j, k, m in zip(cuts_a[:-1], cuts_a[1:], cuts_b[:-1], cuts_b[1:], strict=True)
         ]
 
+    def _new(self, words: list[str]) -> list[tuple] | None:
+        """Answers for words of one document, if both sides spell them: (n_a, n_b, groups,
+        text, links, times), links and times in pieces."""
+        tokens = self.tokens("".join(words)[1:])
+        if tokens is None:
+            return None
+        windows = self.windows(tokens)
+        answers = self.align(windows)
+        # Words begin with a space, and so does the window there; both sides end before it.
+        sizes = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in words), np.int64)
+        marks = np.cumsum([len(a) // 4 for a, _ in windows]) - 1
+        ends = self.ends(0, np.frombuffer(tokens[0], "<u4"))[marks]
+        cuts = (np.searchsorted(ends, np.cumsum(sizes)) + 1).tolist()
+        found = []
+        for i, j in zip([0, *cuts], cuts):
+            if j - i == 1:
+                a, b = windows[i]
+                found.append((len(a) // 4, len(b) // 4, *answers[i]))
+            else:
+                n_a, n_b = (sum(map(len, side)) // 4 for side in zip(*windows[i:j], strict=True))
+                groups, texts, links, times = zip(*answers[i:j], strict=True)
+                if any(times):
+                    times = [t or np.ones(len(p) // 8, "<i8").tobytes() for p, t in zip(links, times, strict=True)]
+                found.append((n_a, n_b, sum(groups), ";".join(texts), b"".join(links),
+                              b"".join(times) if any(times) else None))
+        return found
+
+    def _answers(self, words: list[str]) -> list[tuple] | None:
+        """The answer for each word of a document; new ones are found together."""
+        found = list(map(self.words.get, words))
+        if None not in found:
+            return found
+        new = {w: self.words_before.get(w) for w, f in zip(words, found, strict=True) if f is None}
+        if fresh := [w for w, f in new.items() if f is None]:
+            made = self._new(fresh)
+            if made is None:
+                return None
+            new.update(zip(fresh, made, strict=True))
+        found = [f or new[w] for w, f in zip(words, found, strict=True)]
+        if len(self.words) + len(new) > PARTS:
+            self.words_before, self.words = self.words, {}
+        self.words.update((w, f) for w, f in new.items() if len(w) <= LONG)
+        return found
+
     def document(self, text: str | None) -> tuple:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs, times of each."""
-        tokens = self.tokens(text)
-        if tokens is None:
+        whole = " " + text if text else ""
+        answers = self._answers(parts(whole) if self.apart else [whole]) if text else None
+        if answers is None:
             return 0, 0, 0, 0, "", np.zeros(0, "<i8"), np.zeros(0, "<i8")
-        groups, texts, links, times = zip(*self.align(self.windows(tokens)), strict=True)
+        n_a, n_b, groups, texts, links, times = zip(*answers, strict=True)
         digest = hashlib.sha256(";".join(texts).encode()).hexdigest()
         pairs = np.frombuffer(b"".join(links), "<i8")
         if any(times):
@@ -266,8 +349,7 @@ class Aligner:
             total = np.bincount(at, np.concatenate(each)).astype("<i8")
         else:
             kinds, total = np.unique(pairs, return_counts=True)
-        sizes = (len(t) // 4 for t in tokens)
-        return *sizes, sum(groups), int(total.sum()), digest, kinds, total
+        return sum(n_a), sum(n_b), sum(groups), int(total.sum()), digest, kinds, total
 
 
 @cache
