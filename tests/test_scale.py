@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmart.operators import profile
-from tillmart.registry import QUERIES
+from tillmart.registry import QUERIES, fixtures
 from tillmart.sources import csv_files, landing, workbook
 
 
@@ -83,3 +83,13 @@ def test_datasets_are_profiled_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(profile, "profile_dataset", met)
     found = profile.profile_datasets({"a": spark.range(1), "b": spark.range(2)})
     assert [r.dataset for r in found.orderBy("dataset").collect()] == ["a", "b", "b"]
+
+
+def test_header_texts_are_parsed_once(spark, sf_dir):
+    """The facts read enriched headers; lines meet them by number first, never by broadcast."""
+    facts = fixtures.gold(spark, sf_dir).facts
+    for fact in facts.values():
+        assert "regexp" not in fact._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in _plan(facts["order_items"]).splitlines() if "SortMergeJoin" in x)
+    assert line.index("invoice_no") < line.index("restaurant_name")
+    assert facts["orders"].count() == fixtures.headers(spark, sf_dir).count()

@@ -99,7 +99,8 @@ def hot_blocks(lines: DataFrame, context: DataFrame, worth: int = WORTH) -> list
 def attach_order_context(lines: DataFrame, headers: DataFrame, worth: int = WORTH) -> DataFrame:
     """Give each order line the date, brand and platform of its header.
 
-    The one join of two large tables. Only five header columns travel; a line
+    The one join of two large tables. Only five header columns travel, and they are never
+    broadcast: stored headers pack so well that their bytes say little; a line
     whose header key repeats is repeated too, and missing keys match each other.
     Hot line keys are split by adaptive skew handling, which the plain left join
     leaves possible because nothing downstream needs its partitioning. Keys that
@@ -110,10 +111,12 @@ def attach_order_context(lines: DataFrame, headers: DataFrame, worth: int = WORT
         F.col("restaurant_name").alias("__restaurant"),
         F.col("invoice_no").cast("string").alias("__invoice"),
         *CONTEXT_COLUMNS,
-    )
-    same = F.col("restaurant_name").eqNullSafe(F.col("__restaurant")) & F.col(
-        "invoice_no"
-    ).eqNullSafe(F.col("__invoice"))
+    ).hint("merge")
+    # Rows are sorted by the parts of the key in this order. Outlets are few, so that
+    # almost every comparison is decided by the number if it comes first.
+    same = F.col("invoice_no").eqNullSafe(F.col("__invoice")) & F.col(
+        "restaurant_name"
+    ).eqNullSafe(F.col("__restaurant"))
     keyed = [
         lines.withColumn("__key", _key("restaurant_name", "invoice_no")),
         context.withColumn("__key", _key("__restaurant", "__invoice")),
