@@ -48,7 +48,7 @@ COUNTED = 1 << 21
 # Windows in one generation of a worker's memory: a full one becomes the one before.
 WINDOWS = 60_000
 # Words in one generation of a worker's memory, and most characters of one.
-PARTS = 120_000
+PARTS = 300_000
 LONG = 64
 # Links of a group beyond which distinct ids and their numbers take the place of links.
 LARGE = 1 << 12
