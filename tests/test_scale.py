@@ -1,11 +1,14 @@
 """Plans and sides of joins that have to hold on tables much larger than these."""
 
+import datetime
 from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillmart import session
 from tillmart.operators import profile
+from tillmart.operators.lookup import lookup_key
 from tillmart.registry import QUERIES, fixtures
 from tillmart.sources import csv_files, landing, workbook
 
@@ -93,3 +96,74 @@ def test_header_texts_are_parsed_once(spark, sf_dir):
     line = next(x for x in _plan(facts["order_items"]).splitlines() if "SortMergeJoin" in x)
     assert line.index("invoice_no") < line.index("restaurant_name")
     assert facts["orders"].count() == fixtures.headers(spark, sf_dir).count()
+
+
+@pytest.fixture(scope="module")
+def many_parts(spark, tmp_path_factory):
+    """Tables of few rows beside parts whose rows are few bytes in a file and many in memory."""
+    root = tmp_path_factory.mktemp("many-parts")
+    day = datetime.datetime(2020, 1, 2)
+    part = spark.range(1_000_000).select(
+        F.col("id").alias("p_partkey"),
+        F.repeat(F.lit("tea "), 16).alias("p_name"), F.repeat(F.lit("hot "), 8).alias("p_type"),
+    )
+    tables = {
+        "part": part,
+        "nation": spark.createDataFrame([(i, f"N{i}") for i in range(25)], "n_nationkey int, n_name string"),
+        "orders": spark.createDataFrame(
+            [(i, i, "O", 10.0, day, "5-LOW") for i in range(40)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+            " o_orderdate timestamp_ntz, o_orderpriority string",
+        ),
+        "lineitem": spark.createDataFrame(
+            [(i % 40, i * 9_999 if i % 9 else None, 2.0, 10.0, day) for i in range(100)],
+            "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double,"
+            " l_shipdate timestamp_ntz",
+        ),
+        "events": spark.createDataFrame(
+            [(i, day, i * 99_999 if i % 3 else None, "view", 1.0) for i in range(30)],
+            "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+        ),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
+
+
+def test_large_rows_in_small_files_are_merged(spark, many_parts):
+    """The size of rows decides, not that of files; the other side is not sent instead."""
+    part = fixtures.table(spark, many_parts, "part")
+    assert part._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 64 << 20
+    for name, rows in (("lines", 88), ("tickets", 30)):
+        found = fixtures.bound(spark, many_parts, name)
+        assert "SortMergeJoin" in _plan(found)
+        assert found.count() == rows
+
+
+@pytest.mark.parametrize("most", [100, 0])
+def test_sides_are_sized_by_their_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(session, "BROADCAST_BYTES", most)
+    rows = spark.createDataFrame([(1, "tea"), (None, None)], "k long, name string")
+    # 4 words and a filled one, 4 words: 72 bytes.
+    joined = spark.range(3).join(session.sided(rows, ["k", "name"]), F.col("id") == F.col("k"), "left")
+    assert ("BroadcastHashJoin" in _plan(joined)) is (most == 100)
+    assert sorted((r.id, r.name) for r in joined.collect()) == [(0, None), (1, "tea"), (2, None)]
+    assert session.sided(rows.limit(0), ["k"]).count() == 0
+
+
+def test_small_parts_are_sent_and_lines_are_not(spark, sf_dir):
+    plan = _plan(fixtures.lines(spark, sf_dir))
+    assert plan.count("BroadcastHashJoin") == 2
+    assert "BuildLeft" not in plan
+
+
+def test_members_in_packed_files_are_not_broadcast(spark, tmp_path):
+    """Half a million names and more take several megabytes in a file, and a hundred in memory."""
+    items = spark.range(1_200_000).select(
+        (F.col("id") + 1).alias("item_key"), F.format_string("tea %07d", "id").alias("item_name")
+    )
+    items.coalesce(1).write.parquet(f"{tmp_path}/items")
+    lines = spark.createDataFrame([("tea 0000007",), ("none",), (None,)], "item_name string")
+    keyed = lookup_key(lines, spark.read.parquet(f"{tmp_path}/items"), "item_name", "item_key")
+    assert "SortMergeJoin" in _plan(keyed)
+    assert {tuple(r) for r in keyed.collect()} == {("tea 0000007", 8), ("none", None), (None, None)}
