@@ -167,3 +167,29 @@ def test_members_in_packed_files_are_not_broadcast(spark, tmp_path):
     keyed = lookup_key(lines, spark.read.parquet(f"{tmp_path}/items"), "item_name", "item_key")
     assert "SortMergeJoin" in _plan(keyed)
     assert {tuple(r) for r in keyed.collect()} == {("tea 0000007", 8), ("none", None), (None, None)}
+
+
+def test_blocks_of_bad_files_stay_whole(spark, sf_dir):
+    """However small the pieces that tables are read in, no file begins inside a block."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        found = QUERIES["scan_isolate_bad_files"](spark, sf_dir)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    rows = [fixtures.table(spark, sf_dir, t).count() for t in ("lineitem", "orders")]
+    counts = found.groupBy("reason", F.col("invoice_no").isNull().alias("none")).count()
+    assert {(r.reason, r.none, r["count"]) for r in counts.collect()} == {
+        (None, False, sum(rows)), ("row wider than the header", True, 1),
+        ("unclosed quote in the header line", True, 1), ("more than 2000 columns", True, 1),
+    }
+
+
+def test_pruned_lines_are_merged_with_many_parts(spark, many_parts):
+    """Fewer columns make the files of both sides look smaller still."""
+    pruned = fixtures.lines(spark, many_parts).select("restaurant_name", "invoice_no", "item_name")
+    assert "SortMergeJoin" in _plan(pruned)
+    found = QUERIES["scan_isolate_bad_files"](spark, many_parts)
+    assert found.where("item_name IS NOT NULL").count() == 88
+    assert found.where("named_source_file IS NOT NULL").count() == 40
+    assert found.where("reason IS NOT NULL").count() == 3
